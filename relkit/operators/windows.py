@@ -265,14 +265,27 @@ def rows_at_nth_distinct(df: DataFrame, col: str, n: int, descending: bool = Tru
 
 
 def running_count(df: DataFrame, group_cols: Sequence[str], order: Sequence[SortKey | str],
-                  name: str = "running_n") -> DataFrame:
+                  name: str = "running_n", size_name: str | None = None) -> DataFrame:
     """``ROW_NUMBER() OVER (PARTITION BY group ORDER BY order)`` for skewed groups.
 
     Position in the global (group, order) order minus the first position of
-    the group; group starts are aggregated before they are joined back.
+    the group.  Group starts (and, with ``size_name``, the group size, i.e.
+    ``COUNT(*) OVER (PARTITION BY group)``) come from one aggregate that is
+    reduced map-side before it is joined back.
     """
     pos = global_position(df, [*_keys(group_cols), *_keys(order)], "_rc_pos")
-    start = pos.groupBy(*group_cols).agg(F.min("_rc_pos").alias("_rc_start"))
-    joined = _join_group_value(pos, start, list(group_cols), "_rc_start", "_rc_start")
-    return (joined.withColumn(name, F.col("_rc_pos") - F.col("_rc_start") + F.lit(1))
-                  .drop("_rc_pos", "_rc_start"))
+    aggs = [F.min("_rc_pos").alias("_rc_start")]
+    if size_name:
+        aggs.append(F.count(F.lit(1)).alias("_rc_size"))
+    groups = pos.groupBy(*group_cols).agg(*aggs)
+    renamed = groups.select(*[F.col(c).alias(f"_jg_{i}") for i, c in enumerate(group_cols)],
+                            "_rc_start", *(["_rc_size"] if size_name else []))
+    cond = None
+    for i, c in enumerate(group_cols):
+        e = F.col(c).eqNullSafe(F.col(f"_jg_{i}"))
+        cond = e if cond is None else cond & e
+    joined = pos.join(renamed, cond, "inner").drop(*[f"_jg_{i}" for i in range(len(group_cols))])
+    out = joined.withColumn(name, F.col("_rc_pos") - F.col("_rc_start") + F.lit(1))
+    if size_name:
+        out = out.withColumnRenamed("_rc_size", size_name)
+    return out.drop("_rc_pos", "_rc_start")
