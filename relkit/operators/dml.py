@@ -41,7 +41,7 @@ def S(name: str) -> Column:
 
 def _stamp(at: Column | str | None, user: str | None) -> list[Column]:
     ts = F.current_timestamp() if at is None else (
-        F.lit(at).cast("timestamp") if isinstance(at, str) else at)
+        F.lit(at).cast("timestamp_ntz") if isinstance(at, str) else at)
     who = F.current_user() if user is None else F.lit(user)
     return [ts.alias("changed_at"), who.alias("user_name")]
 
@@ -247,19 +247,24 @@ def update_through_view(target: DataFrame, view_pred: Column, assignments: Mappi
 
 
 def insert_new_only(target: DataFrame, batch: DataFrame, keys: Sequence[str],
-                    order: Sequence[Column]) -> tuple[DataFrame, DataFrame]:
-    """Reject incoming rows whose key exists (BEFORE INSERT trigger).
-
-    Within the batch the first row per key in ``order`` is the candidate;
-    later duplicates are rejected as such.  Returns ``(accepted, rejected)``
-    where ``rejected`` has a ``reason`` column.
+                    order: Sequence) -> tuple[DataFrame, DataFrame]:
+    """Reject incoming rows whose key exists (the BEFORE INSERT trigger).
+
+    Within the batch the first row per key in ``order`` (which must be unique
+    within a key) is the candidate; it is found with a row_number = 1 filter,
+    planned as a partial WindowGroupLimit, so a hot key does not ship all its
+    rows.  Later rows of a key are rejected as duplicates (an anti join on key
+    and order columns), and candidates whose key exists in the target are
+    rejected as such.  Returns ``(accepted, rejected)``; ``rejected`` has a
+    ``reason`` column.
     """
-    from pyspark.sql import Window
-    w = Window.partitionBy(*keys).orderBy(*order)
-    ranked = batch.withColumn("_in_rn", F.row_number().over(w))
-    first = ranked.where(F.col("_in_rn") == 1).drop("_in_rn")
-    dups = ranked.where(F.col("_in_rn") > 1).drop("_in_rn").withColumn("reason", F.lit("duplicate in batch"))
-    tkeys = target.select(*keys)
+    from .windows import _keys, distinct_on
+    order_keys = _keys(order)
+    first = distinct_on(batch, keys, order_keys)
+    match_cols = list(keys) + [k.name for k in order_keys]
+    dups = (batch.join(first.select(*match_cols), match_cols, "left_anti")
+                 .withColumn("reason", F.lit("duplicate in batch")))
+    tkeys = target.select(*keys).distinct()
     accepted = first.join(tkeys, list(keys), "left_anti")
-    existing = first.join(tkeys.distinct(), list(keys), "left_semi").withColumn("reason", F.lit("key exists"))
+    existing = first.join(tkeys, list(keys), "left_semi").withColumn("reason", F.lit("key exists"))
     return accepted, existing.unionByName(dups)

@@ -31,7 +31,7 @@ def profile(df: DataFrame, cols: Sequence[str] | None = None, approx: bool = Fal
         F.when(F.col("n_rows") > 0, (F.col("n_rows") - F.col("n_present")) / F.col("n_rows"))
          .otherwise(F.lit(0.0)).alias("null_frac"),
         F.col("n_distinct").cast("long").alias("n_distinct"), "min_value", "max_value")
-    ts = F.current_timestamp() if profiled_at is None else F.lit(profiled_at).cast("timestamp")
+    ts = F.current_timestamp() if profiled_at is None else F.lit(profiled_at).cast("timestamp_ntz")
     return out.withColumn("profiled_at", ts)
 
 
