@@ -1,12 +1,17 @@
 """Recursive hierarchy walk (``WITH RECURSIVE`` over a parent pointer).
 
-Level-by-level frontier expansion: each step is one join of the frontier
-with the edge table.  A node is emitted at most once (anti join against the
-nodes already reached), which both guards against cycles and makes the walk
-terminate; nodes on a cycle that does not reach a root are never emitted,
-exactly as the recursive CTE would not reach them.  Every few levels the
-frontier is checkpointed to the shared checkpoint folder so the lineage
-(and the re-computation after a lost executor) stays short.
+Level-by-level frontier expansion, as the recursive CTE evaluates it: level
+1 is every row whose parent is NULL, level k+1 the rows whose parent is in
+level k.  The edge table is hash-partitioned by the parent key and
+checkpointed once, so each level shuffles only the (small) frontier; every
+level is itself checkpointed to the shared checkpoint folder, which keeps
+lineage one level deep, makes the emptiness test a read of written data, and
+means a lost executor costs one level, not the whole walk.
+
+Like ``UNION ALL`` recursion, a node reachable along two paths is emitted
+twice; a cycle reachable from a root never empties the frontier, which is
+reported once ``max_depth`` is exceeded instead of looping forever.  Nodes on
+a cycle that no root reaches are never emitted.
 """
 
 from __future__ import annotations
@@ -14,40 +19,32 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..session import ensure_checkpoint_dir
-
+from ..session import default_parallelism, ensure_checkpoint_dir
 
-def walk_down(edges: DataFrame, id_col: str, parent_col: str, max_depth: int = 64,
-              checkpoint_every: int = 4, keep: tuple = ()) -> DataFrame:
-    """Rows ``(id, parent, level, *keep)`` for every node reachable from a root.
 
-    Roots are rows whose parent is NULL (level 1).  ``max_depth`` is a guard
-    against runaway input; reaching it raises rather than silently
-    truncating the result.
-    """
-    ensure_checkpoint_dir(edges.sparkSession)
-    nodes = edges.select(F.col(id_col).alias("_h_id"), F.col(parent_col).alias("_h_parent"),
-                         *[F.col(c) for c in keep])
-    frontier = nodes.where(F.col("_h_parent").isNull()).withColumn("_h_level", F.lit(1))
+def walk_down(edges: DataFrame, id_col: str, parent_col: str, max_depth: int = 100,
+              keep: tuple = ()) -> DataFrame:
+    """Rows ``(id, parent, level, *keep)`` for every node reachable from a root."""
+    spark = edges.sparkSession
+    ensure_checkpoint_dir(spark)
+    nodes = (edges.select(F.col(id_col).alias("_h_id"), F.col(parent_col).alias("_h_parent"),
+                          *[F.col(c) for c in keep])
+                  .repartition(default_parallelism(spark), "_h_parent")
+                  .checkpoint(eager=True))
+    frontier = nodes.where(F.col("_h_parent").isNull()).withColumn("_h_level", F.lit(1)).checkpoint(eager=True)
     levels = [frontier]
-    reached = frontier.select("_h_id")
     depth = 1
     while True:
-        children = (nodes.join(frontier.select(F.col("_h_id").alias("_h_parent"), "_h_level"),
-                               "_h_parent")
-                         .withColumn("_h_level", F.col("_h_level") + F.lit(1)))
-        children = children.join(reached, "_h_id", "left_anti").dropDuplicates(["_h_id"])
-        depth += 1
-        if depth % checkpoint_every == 0:
-            children = children.checkpoint(eager=True)
-        if not children.limit(1).take(1):
+        parents = frontier.select(F.col("_h_id").alias("_h_parent"), F.col("_h_level").alias("_h_plevel"))
+        children = (nodes.join(parents, "_h_parent")
+                         .withColumn("_h_level", F.col("_h_plevel") + F.lit(1)).drop("_h_plevel")
+                         .checkpoint(eager=True))
+        if children.isEmpty():
             break
+        depth += 1
         if depth > max_depth:
-            raise RuntimeError(f"hierarchy deeper than {max_depth} levels")
+            raise RuntimeError(f"hierarchy deeper than {max_depth} levels (or a cycle reachable from a root)")
         levels.append(children)
-        reached = reached.unionByName(children.select("_h_id"))
-        if depth % checkpoint_every == 0:
-            reached = reached.checkpoint(eager=True)
         frontier = children
     out = levels[0]
     for lv in levels[1:]:

@@ -198,7 +198,50 @@ def shift(df: DataFrame, partition_cols: Sequence[str], order: Sequence[SortKey
     ``order`` must make rows unique within a partition.  ``default`` may be a
     column (``LAG(x, 1, x)``); it applies only when the neighbouring row does
     not exist, never when the neighbour's value is NULL.
+
+    For offset 1 the rows are cut into balanced range buckets of the
+    (partition, order) key; inside a bucket Spark's own window gives the
+    neighbour, and the one row per bucket whose neighbour lives in the
+    adjacent bucket takes it from a boundary table with one row per bucket.
+    So a partition key holding a third of the rows is spread over many tasks.
+    Larger offsets join rows to their neighbour by global position.
     """
+    if abs(offset) != 1:
+        return _shift_by_position(df, partition_cols, order, value_col, offset, name, default)
+    keys = [*_keys(partition_cols), *_keys(order)]
+    tagged = range_buckets(df, keys, None, "_sh_b")
+    w = Window.partitionBy("_sh_b").orderBy(*[k.column() for k in keys])
+    whole = Window.partitionBy("_sh_b")
+    nb = F.struct(*[F.col(c).alias(f"p{i}") for i, c in enumerate(partition_cols)], F.col(value_col).alias("v"))
+    is_lag = offset == 1
+    fn = F.lag if is_lag else F.lead
+    win = (tagged.withColumn("_sh_nb", fn(nb, 1).over(w))
+                 .withColumn("_sh_rn", F.row_number().over(w))
+                 .withColumn("_sh_cnt", F.count(F.lit(1)).over(whole)))
+    first = F.col("_sh_rn") == 1
+    last = F.col("_sh_rn") == F.col("_sh_cnt")
+    edge_here, edge_there = (first, last) if is_lag else (last, first)
+    # One row per non-empty bucket; pass it to the next non-empty bucket
+    # (previous one for LEAD).  Bounded by the bucket count.
+    boundary = win.where(edge_there).select("_sh_b", nb.alias("_sh_bnb"))
+    step = F.lead("_sh_b") if is_lag else F.lag("_sh_b")
+    boundary = boundary.select(step.over(Window.orderBy("_sh_b")).alias("_sh_b"), "_sh_bnb") \
+                       .where(F.col("_sh_b").isNotNull())
+    joined = win.join(F.broadcast(boundary), "_sh_b", "left")
+    neighbour = F.when(edge_here, F.col("_sh_bnb")).otherwise(F.col("_sh_nb"))
+    same = neighbour.isNotNull()
+    for i, c in enumerate(partition_cols):
+        same = same & F.col(c).eqNullSafe(neighbour.getField(f"p{i}"))
+    if default is None:
+        dflt = F.lit(None)
+    else:
+        dflt = F.col(default) if isinstance(default, str) else default
+    return (joined.withColumn(name, F.when(same, neighbour.getField("v")).otherwise(dflt))
+                  .drop("_sh_b", "_sh_nb", "_sh_rn", "_sh_cnt", "_sh_bnb"))
+
+
+def _shift_by_position(df, partition_cols, order, value_col, offset, name, default):
+    """Neighbour at any offset: equi-join on global position +- offset."""
     keys = [*_keys(partition_cols), *_keys(order)]
     pos = global_position(df, keys, "_sh_pos")
     neighbour = pos.select(
