@@ -32,6 +32,9 @@ from ..session import default_parallelism
 
 _SAMPLE_PER_BUCKET = 40
 _SAMPLE_SEED = 17
+# Below this many rows per bucket a range is not worth its own task: small
+# inputs get fewer buckets (one bucket = no sampling at all).
+MIN_ROWS_PER_BUCKET = 100_000
 
 
 class SortKey:
@@ -117,6 +120,7 @@ def range_buckets(df: DataFrame, order: Sequence[SortKey | str], num_buckets: in
     n = num_buckets or default_parallelism(df.sparkSession)
     key_df = df.select(*[k.name for k in keys])
     total = key_df.count()
+    n = min(n, -(-total // MIN_ROWS_PER_BUCKET))
     if total == 0 or n <= 1:
         return df.withColumn(name, F.lit(0))
     fraction = min(1.0, _SAMPLE_PER_BUCKET * n / total)

@@ -36,14 +36,20 @@ def month_key(date_col: str | Column) -> Column:
     return F.date_format(c, "yyyy-MM")
 
 
-def write_by_month(df: DataFrame, date_col: str, path: str) -> None:
+def write_by_month(df: DataFrame, date_col: str, path: str, num_tasks: int | None = None,
+                   salt_buckets: int = 1024) -> None:
     """``PARTITION BY RANGE (date)`` with monthly partitions.
 
-    Rows are clustered by month before the write so each task writes few
-    files per partition directory instead of one file per (task, month).
+    Rows are range-partitioned on (month, salt) before the write: every task
+    holds a contiguous slice of months and so writes files for one or two
+    month directories, while the salt (a hash of the row, deterministic, so a
+    retried task rewrites the same rows) lets a large or hot month spread
+    over several tasks instead of landing in one.
     """
+    n = num_tasks or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions", "200"))
+    salt = F.pmod(F.xxhash64(*df.columns), F.lit(salt_buckets))
     (df.withColumn(MONTH, month_key(date_col))
-       .repartition(MONTH)
+       .repartitionByRange(n, F.col(MONTH), salt)
        .write.mode("overwrite").partitionBy(MONTH).parquet(path))
 
 
