@@ -15,9 +15,10 @@ def _c(c):
     return F.col(c) if isinstance(c, str) else c
 
 
-def _scalar_struct(one_row: DataFrame) -> Column:
-    """A one-row aggregate as a single scalar subquery returning a struct."""
-    return one_row.select(F.struct(*one_row.columns)).scalar()
+def _one_row(global_agg: DataFrame) -> DataFrame:
+    """A global aggregate (exactly one row by construction), marked for
+    broadcast: it is computed once and compared against every outer row."""
+    return F.broadcast(global_agg)
 
 
 def in_subquery(df: DataFrame, col: str, sub: DataFrame, sub_col: str) -> DataFrame:
@@ -33,14 +34,13 @@ def not_in_subquery(df: DataFrame, col: str, sub: DataFrame, sub_col: str) -> Da
     subquery: no row qualifies.  Otherwise rows whose non-NULL ``col`` has no
     match.
     """
-    stats = _scalar_struct(sub.agg(F.count(F.lit(1)).alias("n"), F.count(sub_col).alias("nn")))
-    n, nn = stats["n"], stats["nn"]
+    stats = _one_row(sub.agg(F.count(F.lit(1)).alias("_nin_n"), F.count(sub_col).alias("_nin_nn")))
     keys = sub.select(F.col(sub_col).alias("_nin_k")).where(F.col("_nin_k").isNotNull())
     anti = df.join(keys, df[col] == keys["_nin_k"], "left_anti")
-    keep = (n == F.lit(0)) | ((n == nn) & F.col(col).isNotNull())
+    keep = (F.col("_nin_n") == 0) | ((F.col("_nin_n") == F.col("_nin_nn")) & F.col(col).isNotNull())
     # Rows of the empty-subquery case are exactly the anti-join rows, since
     # nothing can match; so one filter over the anti join covers both cases.
-    return anti.where(keep)
+    return anti.crossJoin(stats).where(keep).drop("_nin_n", "_nin_nn")
 
 
 def gt_any(df: DataFrame, col: str, sub: DataFrame, sub_col: str) -> DataFrame:
@@ -60,10 +60,10 @@ def gt_all(df: DataFrame, col: str, sub: DataFrame, sub_col: str) -> DataFrame:
     non-empty subquery: the comparison is never TRUE.  Otherwise
     ``col > max(sub_col)``.
     """
-    stats = _scalar_struct(sub.agg(F.max(sub_col).alias("mx"), F.count(F.lit(1)).alias("n"),
-                                   F.count(sub_col).alias("nn")))
-    mx, n, nn = stats["mx"], stats["n"], stats["nn"]
-    return df.where((n == F.lit(0)) | ((n == nn) & (F.col(col) > mx)))
+    stats = _one_row(sub.agg(F.max(sub_col).alias("_ga_mx"), F.count(F.lit(1)).alias("_ga_n"),
+                             F.count(sub_col).alias("_ga_nn")))
+    keep = (F.col("_ga_n") == 0) | ((F.col("_ga_n") == F.col("_ga_nn")) & (F.col(col) > F.col("_ga_mx")))
+    return df.crossJoin(stats).where(keep).drop("_ga_mx", "_ga_n", "_ga_nn")
 
 
 def eq_scalar(df: DataFrame, col: str, value_frame: DataFrame) -> DataFrame:

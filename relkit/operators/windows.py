@@ -33,7 +33,9 @@ from ..session import default_parallelism
 _SAMPLE_PER_BUCKET = 40
 _SAMPLE_SEED = 17
 # Below this many rows per bucket a range is not worth its own task: small
-# inputs get fewer buckets (one bucket = no sampling at all).
+# inputs get fewer buckets.  An input whose counted size is at most this
+# bound is numbered in one task (no sampling job); the count is the proof of
+# the bound, larger inputs always get several ranges.
 MIN_ROWS_PER_BUCKET = 100_000
 
 
