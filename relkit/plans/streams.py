@@ -4,16 +4,20 @@ micro-batches), so the result can be checked against a batch query."""
 
 from __future__ import annotations
 
-from ..session import default_parallelism, scratch_path
+from ..session import scratch_path
 from ..sources.tables import Tables
 from ..streaming import jobs
 from .registry import query
 
 
+LANDED_FILES = 8       # arrival layout: eight time-ordered files
+FILES_PER_BATCH = 4    # micro-batch size: two batches, state carried across
+
+
 def _landed_events(spark, d):
     e = Tables(spark, d).events
     landing = scratch_path(spark, "events_landing")
-    jobs.stage_landing(e, landing, "ts", max(4, default_parallelism(spark)))
+    jobs.stage_landing(e, landing, "ts", LANDED_FILES)
     return e.schema, landing
 
 
@@ -23,7 +27,7 @@ def stream_dedup_audit(spark, d):
     schema, landing = _landed_events(spark, d)
     run = scratch_path(spark, "dedup_audit")
     return jobs.dedup_audit(spark, landing, schema, ["user_id", "event_type"], ["user_id", "event_type"],
-                            f"{run}/sink", f"{run}/checkpoint")
+                            f"{run}/sink", f"{run}/checkpoint", files_per_batch=FILES_PER_BATCH)
 
 
 @query("stream_batch_copy", "SELECT event_id, user_id, event_type, value FROM events")
@@ -31,5 +35,6 @@ def stream_batch_copy(spark, d):
     """Copy every event into the target in micro-batches, idempotently."""
     schema, landing = _landed_events(spark, d)
     run = scratch_path(spark, "batch_copy")
-    target = jobs.batch_copy(spark, landing, schema, ["event_id"], f"{run}/target", f"{run}/checkpoint")
+    target = jobs.batch_copy(spark, landing, schema, ["event_id"], f"{run}/target", f"{run}/checkpoint",
+                             files_per_batch=FILES_PER_BATCH)
     return target.select("event_id", "user_id", "event_type", "value")

@@ -76,7 +76,12 @@ def run(sf_dir: str, names=None):
     from relkit.session import build_session
     import __spark_entry__ as entry
 
-    spark = build_session(shuffle_partitions=8)
+    if os.environ.get("RELKIT_PLAIN_SESSION"):
+        # As the driver does: a bare session with Spark's defaults.
+        from pyspark.sql import SparkSession
+        spark = SparkSession.builder.master("local[8]").getOrCreate()
+    else:
+        spark = build_session(shuffle_partitions=8)
     qs = entry.queries()
     oracles = entry.oracle_sql()
     con = duck(sf_dir)
