@@ -51,3 +51,21 @@ def walk_down(edges: DataFrame, id_col: str, parent_col: str, max_depth: int = 1
         out = out.unionByName(lv)
     return out.select(F.col("_h_id").alias(id_col), F.col("_h_parent").alias(parent_col),
                       F.col("_h_level").alias("level"), *[F.col(c) for c in keep])
+
+
+def walk_down_sql(spark, view: str, id_col: str, parent_col: str, keep: tuple = ()) -> DataFrame:
+    """The same walk as Spark SQL ``WITH RECURSIVE`` over a registered view.
+
+    Convenient for shallow, small trees; Spark caps recursion by
+    ``spark.sql.cteRecursionLevelLimit`` / ``...RowLimit``, so deep or large
+    hierarchies use ``walk_down``.
+    """
+    extra = "".join(f", {c}" for c in keep)
+    extra_e = "".join(f", e.{c}" for c in keep)
+    return spark.sql(f"""
+        WITH RECURSIVE tree AS (
+          SELECT {id_col}, {parent_col}, 1 AS level{extra} FROM {view} WHERE {parent_col} IS NULL
+          UNION ALL
+          SELECT e.{id_col}, e.{parent_col}, t.level + 1{extra_e}
+          FROM {view} e JOIN tree t ON e.{parent_col} = t.{id_col})
+        SELECT {id_col}, {parent_col}, level{extra} FROM tree""")

@@ -30,3 +30,11 @@ def test_keeps_payload_columns(spark):
     got = walk_down(edges, "id", "parent", keep=("name",))
     assert rows(got, "id", "name", "level") == [(1, "root", 1), (2, "kid", 2)]
     assert got.where(F.col("level") > 2).count() == 0
+
+
+def test_sql_recursive_form_matches_loop(spark):
+    from relkit.operators.hierarchy import walk_down_sql
+    edges = spark.range(0, 200).select(F.col("id").alias("k"),
+                                       F.when(F.col("id") == 0, None).otherwise(F.expr("(id - 1) div 3")).alias("p"))
+    edges.createOrReplaceTempView("t_edges")
+    assert rows(walk_down_sql(spark, "t_edges", "k", "p")) == rows(walk_down(edges, "k", "p"))

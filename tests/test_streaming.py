@@ -36,3 +36,16 @@ def test_batch_copy_is_incremental_and_idempotent(spark):
     # A replay from scratch (lost checkpoint) appends nothing twice.
     out = jobs.batch_copy(spark, landing, schema, ["event_id"], f"{run}/target", f"{run}/ck2")
     assert out.count() == 4 and out.select(F.countDistinct("event_id")).first()[0] == 4
+
+
+def test_dedup_audit_with_watermark_bounds_state(spark):
+    import datetime as dt
+    run = scratch_path(spark, "t_dedup_wm")
+    t0 = dt.datetime(2024, 1, 1)
+    schema = "event_id long, user_id long, kind string, ts timestamp"
+    for data in ([(1, 10, "a", t0), (2, 11, "a", t0)], [(3, 10, "a", t0 + dt.timedelta(minutes=1))]):
+        spark.createDataFrame(data, schema).coalesce(1).write.mode("append").parquet(f"{run}/landing")
+    sch = spark.read.parquet(f"{run}/landing").schema
+    out = jobs.dedup_audit(spark, f"{run}/landing", sch, ["user_id", "kind"], ["user_id", "kind"],
+                           f"{run}/sink", f"{run}/ck", watermark=("ts", "1 hour"))
+    assert rows(out) == [(10, "a"), (11, "a")]
