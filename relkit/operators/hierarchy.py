@@ -39,7 +39,7 @@ def walk_down(edges: DataFrame, id_col: str, parent_col: str, max_depth: int = 1
         children = (nodes.join(parents, "_h_parent")
                          .withColumn("_h_level", F.col("_h_plevel") + F.lit(1)).drop("_h_plevel")
                          .checkpoint(eager=True))
-        if children.isEmpty():
+        if children.count() == 0:  # one job over the checkpointed level
             break
         depth += 1
         if depth > max_depth:
