@@ -49,6 +49,7 @@ def distinct_rows_li(spark, d):
     return Tables(spark, d).lineitem.distinct()
 
 
+# Stock status labels (0 -> Out of Stock, < 20 -> Low Stock, else In Stock).
 _STOCK_SQL = """
 SELECT p_partkey, p_size AS units_in_stock,
        CASE WHEN p_size = 0 THEN 'Out of Stock' WHEN p_size < 20 THEN 'Low Stock'
@@ -64,6 +65,7 @@ def case_stock_status(spark, d):
     return p.select("p_partkey", F.col("p_size").alias("units_in_stock"), status.alias("stock_status"))
 
 
+# Status codes 1 -> GDM, 0 -> Non-GDM, otherwise Unknown; flags Yes / No / Unknown.
 @query("case_code_label", """
 SELECT p_partkey, code,
        CASE WHEN code = 1 THEN 'GDM' WHEN code = 0 THEN 'Non-GDM' ELSE 'Unknown' END AS status_label,
@@ -80,13 +82,9 @@ def case_code_label(spark, d):
                     fx.yes_no("code").alias("yes_no"))
 
 
-# Price bands of the catalogue (scaled to the table's 900-2000 range).
-PRICE_BANDS = [(920.0, "Low"), (950.0, "Medium")]
-PRICE_TOP = "High"
-
-
 def price_category(col="p_retailprice"):
-    # Low < 920 <= Medium <= 950 < High
+    # Price bands Low < 920 <= Medium <= 950 < High (the
+    # reference's 20 / 50 bands moved onto this table's 900-2000 price range).
     c = F.col(col)
     return F.when(c < 920.0, "Low").when(c <= 950.0, "Medium").when(c > 950.0, "High")
 
