@@ -83,3 +83,12 @@ def test_profile(spark):
     assert p["id"]["n_distinct"] == 2 and p["id"]["min_value"] == "1" and p["id"]["max_value"] == "2"
     assert abs(p["s"]["null_frac"] - 1 / 3) < 1e-12
     assert p["s"]["profiled_at"] == dt.datetime(2024, 1, 1)
+
+
+def test_profile_approx_and_frequent_values(spark):
+    from relkit.operators.profile import frequent_values
+    df = spark.range(0, 1000).select((F.col("id") % 10).alias("k"), F.col("id"))
+    p = {r["column_name"]: r for r in profile(df, approx=True).collect()}
+    assert 9 <= p["k"]["n_distinct"] <= 11 and 950 <= p["id"]["n_distinct"] <= 1050
+    top = frequent_values(df.where("id < 25"), "k", 3).collect()
+    assert [(r["k"], r["freq"]) for r in top] == [(0, 3), (1, 3), (2, 3)]
