@@ -2,8 +2,10 @@
 
 Level-by-level frontier expansion, as the recursive CTE evaluates it: level
 1 is every row whose parent is NULL, level k+1 the rows whose parent is in
-level k.  The edge table is hash-partitioned by the parent key and
-checkpointed once, so each level shuffles only the (small) frontier; every
+level k.  The edge table is hash-partitioned by (parent key, a salt hashed
+from the node id) and checkpointed once, so each level shuffles only the
+(small) frontier, replicated once per salt value; a parent with a third of
+all nodes as children is spread over ``SALT`` partitions instead of one.  Every
 level is itself checkpointed to the shared checkpoint folder, which keeps
 lineage one level deep, makes the emptiness test a read of written data, and
 means a lost executor costs one level, not the whole walk.
@@ -21,6 +23,8 @@ from pyspark.sql import functions as F
 
 from ..session import default_parallelism, ensure_checkpoint_dir
 
+SALT = 32
+
 
 def walk_down(edges: DataFrame, id_col: str, parent_col: str, max_depth: int = 100,
               keep: tuple = ()) -> DataFrame:
@@ -29,14 +33,17 @@ def walk_down(edges: DataFrame, id_col: str, parent_col: str, max_depth: int = 1
     ensure_checkpoint_dir(spark)
     nodes = (edges.select(F.col(id_col).alias("_h_id"), F.col(parent_col).alias("_h_parent"),
                           *[F.col(c) for c in keep])
-                  .repartition(default_parallelism(spark), "_h_parent")
+                  .withColumn("_h_salt", F.pmod(F.xxhash64("_h_id"), F.lit(SALT)))
+                  .repartition(default_parallelism(spark), "_h_parent", "_h_salt")
                   .checkpoint(eager=True))
+    salts = F.explode(F.sequence(F.lit(0).cast("long"), F.lit(SALT - 1).cast("long")))
     frontier = nodes.where(F.col("_h_parent").isNull()).withColumn("_h_level", F.lit(1)).checkpoint(eager=True)
     levels = [frontier]
     depth = 1
     while True:
-        parents = frontier.select(F.col("_h_id").alias("_h_parent"), F.col("_h_level").alias("_h_plevel"))
-        children = (nodes.join(parents, "_h_parent")
+        parents = frontier.select(F.col("_h_id").alias("_h_parent"), F.col("_h_level").alias("_h_plevel"),
+                                  salts.alias("_h_salt"))
+        children = (nodes.join(parents, ["_h_parent", "_h_salt"])
                          .withColumn("_h_level", F.col("_h_plevel") + F.lit(1)).drop("_h_plevel")
                          .checkpoint(eager=True))
         if children.count() == 0:  # one job over the checkpointed level

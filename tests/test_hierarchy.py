@@ -38,3 +38,13 @@ def test_sql_recursive_form_matches_loop(spark):
                                        F.when(F.col("id") == 0, None).otherwise(F.expr("(id - 1) div 3")).alias("p"))
     edges.createOrReplaceTempView("t_edges")
     assert rows(walk_down_sql(spark, "t_edges", "k", "p")) == rows(walk_down(edges, "k", "p"))
+
+
+def test_star_shaped_tree_hot_parent(spark):
+    # One manager with most of the nodes as direct reports.
+    edges = spark.range(0, 3000).select(
+        F.col("id").alias("k"),
+        F.when(F.col("id") == 0, None).when(F.col("id") < 2500, F.lit(0)).otherwise(F.col("id") - 500).alias("p"))
+    got = walk_down(edges, "k", "p")
+    levels = {r["level"]: r["count"] for r in got.groupBy("level").count().collect()}
+    assert levels == {1: 1, 2: 2499, 3: 500}
