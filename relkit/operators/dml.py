@@ -157,7 +157,8 @@ def merge(target: DataFrame, source: DataFrame, keys: Sequence[str], clauses: Se
     """
     src = source.select(*[F.col(c).alias(SRC + c) for c in source.columns]).withColumn("_m_src", F.lit(True))
     if check_duplicates:
-        dup = _duplicate_keys(source, keys).join(target.select(*keys).distinct(), list(keys), "left_semi")
+        # Existence check only: no need to de-duplicate the (large) target side.
+        dup = _duplicate_keys(source, keys).join(target.select(*keys), list(keys), "left_semi")
         if any_row(dup):
             raise ValueError("MERGE: a target row is matched by more than one source row")
     tgt = target.withColumn("_m_tgt", F.lit(True))
@@ -264,7 +265,7 @@ def insert_new_only(target: DataFrame, batch: DataFrame, keys: Sequence[str],
     match_cols = list(keys) + [k.name for k in order_keys]
     dups = (batch.join(first.select(*match_cols), match_cols, "left_anti")
                  .withColumn("reason", F.lit("duplicate in batch")))
-    tkeys = target.select(*keys).distinct()
+    tkeys = target.select(*keys)  # semi/anti joins only test existence
     accepted = first.join(tkeys, list(keys), "left_anti")
     existing = first.join(tkeys, list(keys), "left_semi").withColumn("reason", F.lit("key exists"))
     return accepted, existing.unionByName(dups)

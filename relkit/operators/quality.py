@@ -46,7 +46,7 @@ def foreign_key_violations(child: DataFrame, fk: Sequence[str], parent: DataFram
     c = child
     for k in fk:
         c = c.where(F.col(k).isNotNull())
-    p = parent.select(*[F.col(a).alias(f"_fk_{i}") for i, a in enumerate(pk)]).distinct()
+    p = parent.select(*[F.col(a).alias(f"_fk_{i}") for i, a in enumerate(pk)])
     cond = None
     for i, k in enumerate(fk):
         e = c[k] == p[f"_fk_{i}"]
