@@ -98,3 +98,11 @@ def test_running_count_with_group_size(spark):
     w = Window.partitionBy("grp").orderBy("id")
     exp = df.withColumn("rn", F.row_number().over(w)).withColumn("n", F.count("*").over(Window.partitionBy("grp")))
     assert rows(got, "id", "rn", "n") == rows(exp, "id", F.col("rn").cast("long"), "n")
+
+
+def test_range_buckets_are_balanced(spark):
+    df = spark.range(0, 400_000).withColumn("k", (F.col("id") * 7919) % 100_003)
+    sizes = [r["count"] for r in range_buckets(df, ["k", "id"], 8, "b").groupBy("b").count().collect()]
+    assert len(sizes) == 8
+    mean = sum(sizes) / len(sizes)
+    assert max(sizes) < 1.3 * mean and min(sizes) > 0.7 * mean
