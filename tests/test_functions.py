@@ -64,3 +64,16 @@ def test_yes_no_and_code_label(spark):
     assert one(spark, fx.yes_no("x"), "x int", (1,)) == "Yes"
     assert one(spark, fx.yes_no("x"), "x int", (None,)) == "Unknown"
     assert one(spark, fx.code_label("x", {0: "Non-GDM", 1: "GDM"}, "Unknown"), "x int", (0,)) == "Non-GDM"
+
+
+def test_stock_value_sql_function_matches_set_form(spark):
+    import __spark_entry__ as entry
+    from conftest import SF_SMALL
+    from relkit.functions.routines import register_stock_value
+    from relkit.sources.tables import read_table
+    read_table(spark, SF_SMALL, "part").createOrReplaceTempView("t_part")
+    fn = register_stock_value(spark, "t_part")
+    expected = {r["category"]: r["stock_value"] for r in entry.queries()["fn_stock_value"](spark, SF_SMALL).collect()}
+    for cat, value in expected.items():
+        got = spark.sql(f"SELECT {fn}('{cat}') AS v").first()["v"]
+        assert got == value
