@@ -164,15 +164,37 @@ def global_position(df: DataFrame, order: Sequence[SortKey | str], name: str = "
                     .drop("_gp_b", "_gp_local", "_gp_off"))
 
 
-def global_rank(df: DataFrame, order: Sequence[SortKey | str], tie: Sequence[SortKey | str],
+def global_cumsum(df: DataFrame, order: Sequence[SortKey | str], value_col: str, name: str,
+                  num_buckets: int | None = None) -> DataFrame:
+    """Running total of ``value_col`` in the total order ``order`` (unique keys).
+
+    ``SUM(value) OVER (ORDER BY order ROWS UNBOUNDED PRECEDING)`` computed per
+    range bucket and shifted by the totals of the earlier buckets (one row
+    per bucket, broadcast).
+    """
+    keys = _keys(order)
+    tagged = range_buckets(df, keys, num_buckets, "_cs_b")
+    w = (Window.partitionBy("_cs_b").orderBy(*[k.column() for k in keys])
+               .rowsBetween(Window.unboundedPreceding, Window.currentRow))
+    local = tagged.withColumn("_cs_local", F.sum(value_col).over(w))
+    totals = tagged.groupBy("_cs_b").agg(F.sum(value_col).alias("_cs_t"))
+    before = Window.orderBy("_cs_b").rowsBetween(Window.unboundedPreceding, -1)
+    offsets = totals.select("_cs_b", F.coalesce(F.sum("_cs_t").over(before), F.lit(0)).alias("_cs_off"))
+    return (local.join(F.broadcast(offsets), "_cs_b")
+                 .withColumn(name, F.col("_cs_off") + F.col("_cs_local"))
+                 .drop("_cs_b", "_cs_local", "_cs_off"))
+
+
+def global_rank(df: DataFrame, order: Sequence[SortKey | str], tie: Sequence[SortKey | str] = (),
                 name: str = "rank", dense: bool = False) -> DataFrame:
     """``RANK()``/``DENSE_RANK() OVER (ORDER BY order)`` without one-task windows.
 
-    ``tie`` makes the order unique.  RANK is the first position of the row's
-    tie group; DENSE_RANK is the position of the group among the distinct
-    keys.  Tie groups are aggregated (map-side first) before they are joined
-    back, so a hot tie group costs one row in the shuffle, and the join back
-    is an equi-join that AQE splits when one group is large.
+    Tied rows share a rank, so only the distinct order keys are ordered: a
+    histogram ``key -> row count`` is aggregated map-side, RANK is one plus
+    the running count of the keys before it and DENSE_RANK the position of
+    the key; the per-key value is joined back (an equi-join AQE can
+    broadcast when the histogram is small or split when one key is hot).
+    ``tie`` is accepted for symmetry with ROW_NUMBER and not needed.
     """
     keys = _keys(order)
     key_cols = [k.name for k in keys]
@@ -180,9 +202,10 @@ def global_rank(df: DataFrame, order: Sequence[SortKey | str], tie: Sequence[Sor
         groups = df.select(*key_cols).distinct()
         per_group = global_position(groups, keys, "_rk_val")
         return _join_group_value(df, per_group, key_cols, "_rk_val", name)
-    pos = global_position(df, [*keys, *_keys(tie)], "_rk_pos")
-    first = pos.groupBy(*key_cols).agg(F.min("_rk_pos").alias("_rk_val"))
-    return _join_group_value(pos, first, key_cols, "_rk_val", name).drop("_rk_pos")
+    hist = df.groupBy(*key_cols).agg(F.count(F.lit(1)).alias("_rk_n"))
+    cum = global_cumsum(hist, keys, "_rk_n", "_rk_cum")
+    per_group = cum.select(*key_cols, (F.col("_rk_cum") - F.col("_rk_n") + F.lit(1)).alias("_rk_val"))
+    return _join_group_value(df, per_group, key_cols, "_rk_val", name)
 
 
 def _join_group_value(df: DataFrame, groups: DataFrame, key_cols: Sequence[str],

@@ -106,3 +106,15 @@ def test_range_buckets_are_balanced(spark):
     assert len(sizes) == 8
     mean = sum(sizes) / len(sizes)
     assert max(sizes) < 1.3 * mean and min(sizes) > 0.7 * mean
+
+
+def test_global_cumsum_and_rank_with_hot_tie(spark):
+    from relkit.operators.windows import global_cumsum
+    df = spark.range(0, 3000).withColumn("v", F.when(F.col("id") % 3 == 0, F.lit(7)).otherwise(F.col("id") % 40))
+    cs = global_cumsum(df.select("id", (F.col("id") % 5).alias("w")), ["id"], "w", "cs")
+    exp = df.select("id", (F.col("id") % 5).alias("w")).withColumn(
+        "cs", F.sum("w").over(Window.orderBy("id").rowsBetween(Window.unboundedPreceding, 0)))
+    assert cs.join(exp, ["id"]).where(cs["cs"] != exp["cs"]).count() == 0
+    got = global_rank(df, [desc("v")], name="r")
+    ref = df.withColumn("r", F.rank().over(Window.orderBy(F.col("v").desc())).cast("long"))
+    assert got.join(ref, ["id"]).where(got["r"] != ref["r"]).count() == 0
