@@ -7,7 +7,7 @@ import __spark_entry__ as entry
 from conftest import SF_SMALL
 from oracle_harness import compare, duck
 
-NAMES = sorted(entry.queries())
+NAMES = sorted(entry.plans.QUERIES)
 
 
 @pytest.fixture(scope="module")
@@ -16,7 +16,7 @@ def con():
 
 
 def test_every_query_has_an_oracle_or_is_declared_rows_only():
-    missing = set(entry.queries()) - set(entry.oracle_sql())
+    missing = set(entry.plans.QUERIES) - set(entry.oracle_sql())
     assert missing == {"sample_random10"}
 
 
