@@ -95,8 +95,12 @@ def fingerprints(docs: DataFrame, scale: int = SCALE) -> DataFrame:
 _RESULT = [("doc_id", pa.int64()), ("n_chars", pa.int64()), ("edited_sha256", pa.string()),
            ("fingerprint", pa.string()), ("edited_fingerprint", pa.string()),
            ("near_edited", pa.float64()), ("near_next", pa.float64())]
+#: Stored rows hold both fingerprints in one column: what they share stands close together and takes little space.
 #: ``part`` is set on the rows that wait for a neighbour; ``head`` marks the first row of a partition.
-_WAITING = pa.schema([*_RESULT, ("part", pa.int64()), ("head", pa.bool_()), ("text", pa.string())])
+_WAITING = pa.schema([("doc_id", pa.int64()), ("n_chars", pa.int64()), ("edited_sha256", pa.string()), ("both", pa.string()),
+                      ("near_edited", pa.float64()), ("near_next", pa.float64()),
+                      ("part", pa.int64()), ("head", pa.bool_()), ("text", pa.string())])
+_BLANK = (None,) * 5
 _SPARK = {pa.int64(): "long", pa.string(): "string", pa.float64(): "double", pa.bool_(): "boolean"}
 
 
@@ -121,14 +125,14 @@ def _neighbours(scale: int):
             for doc, text in zip(rb.column(0).to_pylist(), rb.column(1).to_pylist()):
                 own = fingerprint(text, scale)
                 if last is None:
-                    out.append((None,) * len(_RESULT) + (part, True, text))
+                    out.append((None, *_BLANK, part, True, text))
                 else:
-                    out.append(_compared(*last, text, own, scale) + (None, None, None))
+                    d, n, sha, one, other, *near = _compared(*last, text, own, scale)
+                    out.append((d, n, sha, f"{one}|{other}", *near, None, None, None))
                 last = (doc, text, own)
             yield batch(_WAITING, *map(list, zip(*out))) if out else batch(_WAITING, *([] for _ in _WAITING))
         if last is not None:
-            row = (last[0],) + (None,) * (len(_RESULT) - 1) + (part, False, last[1])
-            yield batch(_WAITING, *([v] for v in row))
+            yield batch(_WAITING, *([v] for v in (last[0], *_BLANK, part, False, last[1])))
     return run
 
 
@@ -157,7 +161,7 @@ def next_edits(docs: DataFrame, scale: int = SCALE) -> DataFrame:
     n = int(spark.conf.get("spark.sql.shuffle.partitions"))
     dealt = rows.repartitionByRange(n, *order).sortWithinPartitions(*order, "text")
     done = stored(dealt.mapInArrow(_neighbours(scale), _ddl([(f.name, f.type) for f in _WAITING])), "fp-neighbours")
-    names = [name for name, _ in _RESULT]
+    one, other = (F.split("both", r"\|", -1)[k].alias(c) for k, c in enumerate(("fingerprint", "edited_fingerprint")))
     ends = done.where(F.col("part").isNotNull())
     # One row per partition: which partition with rows follows it, the first one after the last.
     parts = ends.where("head").select(F.col("part").alias("p"))
@@ -168,5 +172,6 @@ def next_edits(docs: DataFrame, scale: int = SCALE) -> DataFrame:
     waiting = (ends.where(~F.col("head")).select("doc_id", "text", "part")
                .join(follows, F.col("part") == F.col("p")).join(heads, F.col("q") == F.col("hp"))
                .select("doc_id", "text", "following"))
-    return done.where(F.col("part").isNull()).select(*names).unionByName(
+    return done.where(F.col("part").isNull()).select(
+        "doc_id", "n_chars", "edited_sha256", one, other, "near_edited", "near_next").unionByName(
         waiting.mapInArrow(_finish(scale), _ddl(_RESULT)))

@@ -33,7 +33,7 @@ def stored(df: DataFrame, name: str) -> DataFrame:
     """Write ``df`` to a fresh folder in the shared scratch space and read it back."""
     spark = df.sparkSession
     path = scratch_path(spark, name)
-    df.write.parquet(path)
+    df.write.option("compression", "zstd").parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 
 
