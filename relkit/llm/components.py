@@ -3,7 +3,8 @@
 Every round replaces edges by edges to a smaller neighbour (large star, then
 small star) until each component is one star around its smallest node.  All
 steps are joins and map-side combined minimums; no neighbour list is ever
-built, and each round is written to the shared scratch folder.
+built, and each round is written to the shared scratch folder.  Edges that are
+stars already (as the near-duplicate rounds make them) take no round at all.
 """
 
 from __future__ import annotations
@@ -29,6 +30,12 @@ def _star(directed: DataFrame, keep_larger: bool) -> DataFrame:
             .unionByName(least.where(F.col("u2") != F.col("m")).select(F.col("u2").alias("u"), F.col("m").alias("v"))))
 
 
+def _all_stars(e: DataFrame) -> bool:
+    """Whether every ``u`` has one ``v`` and no ``v`` is a ``u``."""
+    twice = e.groupBy("u").agg(F.count(F.lit(1)).alias("n")).where("n > 1")
+    return twice.isEmpty() and e.join(e.select(F.col("u").alias("inner")).distinct(), F.col("v") == F.col("inner"), "left_semi").isEmpty()
+
+
 def components(edges: DataFrame, a: str = "a", b: str = "b") -> DataFrame:
     """(node, root) for every node on an edge; ``root`` is the least node it reaches.
 
@@ -37,14 +44,9 @@ def components(edges: DataFrame, a: str = "a", b: str = "b") -> DataFrame:
     e = (edges.select(F.greatest(a, b).alias("u"), F.least(a, b).alias("v"))
          .where(F.col(a).isNotNull() & F.col(b).isNotNull() & (F.col("u") != F.col("v"))).distinct())
     e = stored(e, "cc-edges")
-    before = None
-    while True:
+    while not _all_stars(e):
         both = e.unionByName(e.select(F.col("v").alias("u"), F.col("u").alias("v")))
-        large = stored(_star(both, keep_larger=True).distinct(), "cc-large")
-        e = stored(_star(large, keep_larger=False).distinct(), "cc-small")
-        after = e.agg(F.count(F.lit(1)), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)"))).first()
-        if after == before:
-            break
-        before = after
+        large = _star(both, keep_larger=True).distinct()
+        e = stored(_star(large, keep_larger=False).distinct(), "cc-stars")
     stars = e.select(F.col("u").alias("node"), F.col("v").alias("root"))
     return stars.unionByName(stars.select(F.col("root").alias("node"), "root").distinct())

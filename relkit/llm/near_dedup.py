@@ -11,7 +11,7 @@ probability that a pair exactly at the threshold shares no band.
 Work is done on classes of equal shingle sets.  A band bucket never emits all
 its pairs: each round compares every member with a few pivots of its bucket,
 on full sets, and then drops buckets whose members are already connected.  The
-number of pivots grows fourfold each round and a pivot leaves its bucket once
+number of pivots grows sixteenfold each round and a pivot leaves its bucket once
 it has met all others, so every bucket ends with all its links known: a large
 group of copies ends after its first round, and no link is lost to a cap.
 
@@ -26,6 +26,7 @@ from __future__ import annotations
 
 import math
 from collections.abc import Iterator
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
@@ -39,6 +40,8 @@ from .util import batch, prepare, stored, text_or_empty
 
 ROWS = 5
 MISS = 1e-7
+#: Pivots of a bucket in the first round, and how many times as many in each further round.
+PIVOTS, GROWTH = 4, 16
 
 
 def n_bands(threshold: float, rows: int = ROWS, miss: float = MISS) -> int:
@@ -161,7 +164,7 @@ def _label(rows: DataFrame, classes: DataFrame, num: int, den: int) -> DataFrame
                       & (F.col("t2") == F.col("r_t2")), "left_semi").select("text")
     # Repeated rows give their set twice; one copy of each is kept.
     sets = stored(texts.mapInArrow(_sets, _spark_schema(_SETS)).groupBy("cls").agg(F.first("s").alias("s")), "nd-sets")
-    labels, edges, pivots = None, None, 1
+    labels, pivots = None, PIVOTS
     while True:
         if labels is None:
             at = left.withColumn("label", F.col("cls"))
@@ -174,15 +177,16 @@ def _label(rows: DataFrame, classes: DataFrame, num: int, den: int) -> DataFrame
             if at.isEmpty():
                 return labels
         nth = F.row_number().over(Window.partitionBy("key").orderBy("cls"))
-        pivot = stored(at.withColumn("nth", nth).where(F.col("nth") <= pivots).drop("nth"), "nd-pivots").select(
+        pivot = at.withColumn("nth", nth).where(F.col("nth") <= pivots).select(
             F.col("key").alias("pk"), F.col("cls").alias("pc"), F.col("label").alias("pl"))
         pairs = (at.join(pivot, (F.col("key") == F.col("pk")) & (F.col("label") != F.col("pl")))
                  .select(F.greatest("cls", "pc").alias("a"), F.least("cls", "pc").alias("b")).distinct())
         found = _verified(pairs, sets, num, den)
-        edges = stored(found if edges is None else edges.unionByName(found), "nd-edges")
-        labels = stored(components(edges), "nd-labels")
+        # What is known so far goes in as stars, so only the new links have to be contracted.
+        known = [] if labels is None else [labels.select(F.col("node").alias("a"), F.col("root").alias("b"))]
+        labels = components(reduce(DataFrame.unionByName, known, found))
         left = at.join(pivot, (F.col("key") == F.col("pk")) & (F.col("cls") == F.col("pc")), "left_anti").select("key", "cls")
-        pivots *= 4
+        pivots *= GROWTH
 
 
 def _verified(pairs: DataFrame, sets: DataFrame, num: int, den: int) -> DataFrame:
