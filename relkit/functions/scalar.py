@@ -114,9 +114,8 @@ def round_money(c: ColumnOrName, digits: int = 2) -> Column:
 
 
 def round_half_up(c: ColumnOrName, digits: int = 2) -> Column:
-    """Round a double half-up the same way on every engine: floor(x*10^d+0.5)/10^d."""
-    scale = 10 ** digits
-    return (F.floor(_c(c) * F.lit(float(scale)) + F.lit(0.5)) / F.lit(float(scale))).cast("double")
+    """ROUND of a double as PostgreSQL rounds numeric: in decimal, halves away from zero."""
+    return F.round(_c(c).cast("decimal(38,10)"), digits).cast("double")
 
 
 def sum_money(c: ColumnOrName) -> Column:

@@ -47,11 +47,18 @@ def _stamp(at: Column | str | None, user: str | None) -> list[Column]:
 
 
 def _align(rows: DataFrame, target: DataFrame, defaults: Mapping | None = None) -> DataFrame:
-    """Project ``rows`` onto the target schema by name (INSERT column list)."""
+    """Project ``rows`` onto the target schema by name (INSERT column list).
+
+    Names match regardless of case; a column the target lacks is an error.
+    """
+    given = {c.lower(): c for c in rows.columns}
+    unknown = sorted(set(given) - {f.name.lower() for f in target.schema.fields})
+    if unknown or len(given) < len(rows.columns):
+        raise ValueError(f"columns not in the target or given twice: {unknown or rows.columns}")
     cols = []
     for f in target.schema.fields:
-        if f.name in rows.columns:
-            cols.append(F.col(f.name).cast(f.dataType).alias(f.name))
+        if f.name.lower() in given:
+            cols.append(F.col(given[f.name.lower()]).cast(f.dataType).alias(f.name))
         elif defaults and f.name in defaults:
             d = defaults[f.name]
             cols.append((d if isinstance(d, Column) else F.lit(d)).cast(f.dataType).alias(f.name))
@@ -108,7 +115,8 @@ def delete(target: DataFrame, where: Column, audit_keys: Sequence[str] = (),
 
 
 def _duplicate_keys(df: DataFrame, keys: Sequence[str]) -> DataFrame:
-    return df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n")).where(F.col("_n") > 1)
+    # A key with a NULL conflicts with nothing.
+    return df.dropna(subset=list(keys)).groupBy(*keys).agg(F.count(F.lit(1)).alias("_n")).where(F.col("_n") > 1)
 
 
 def upsert(target: DataFrame, source: DataFrame, keys: Sequence[str],
@@ -251,20 +259,21 @@ def insert_new_only(target: DataFrame, batch: DataFrame, keys: Sequence[str],
                     order: Sequence) -> tuple[DataFrame, DataFrame]:
     """Reject incoming rows whose key exists (the BEFORE INSERT trigger).
 
-    Within the batch the first row per key in ``order`` (which must be unique
-    within a key) is the candidate; it is found with a row_number = 1 filter,
-    planned as a partial WindowGroupLimit, so a hot key does not ship all its
-    rows.  Later rows of a key are rejected as duplicates (an anti join on key
-    and order columns), and candidates whose key exists in the target are
-    rejected as such.  Returns ``(accepted, rejected)``; ``rejected`` has a
+    Rows are numbered once per key in ``order`` (``running_count``, which
+    splits hot keys); the first row of a key is the candidate and all later
+    ones, equal rows included, are rejected as duplicates, so accepted and
+    rejected rows together are the batch.  A key with a NULL is never a
+    duplicate.  Candidates whose key exists in the target are rejected.  Returns ``(accepted, rejected)``; ``rejected`` has a
     ``reason`` column.
     """
-    from .windows import _keys, distinct_on
-    order_keys = _keys(order)
-    first = distinct_on(batch, keys, order_keys)
-    match_cols = list(keys) + [k.name for k in order_keys]
-    dups = (batch.join(first.select(*match_cols), match_cols, "left_anti")
-                 .withColumn("reason", F.lit("duplicate in batch")))
+    from .windows import running_count
+    numbered = running_count(batch, keys, order, "_ino_nth")
+    no_key = F.lit(False)
+    for k in keys:
+        no_key = no_key | F.col(k).isNull()
+    first = numbered.where((F.col("_ino_nth") == 1) | no_key).drop("_ino_nth")
+    dups = (numbered.where((F.col("_ino_nth") > 1) & ~no_key).drop("_ino_nth")
+                    .withColumn("reason", F.lit("duplicate in batch")))
     tkeys = target.select(*keys)  # semi/anti joins only test existence
     accepted = first.join(tkeys, list(keys), "left_anti")
     existing = first.join(tkeys, list(keys), "left_semi").withColumn("reason", F.lit("key exists"))

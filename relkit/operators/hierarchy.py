@@ -11,8 +11,9 @@ lineage one level deep, makes the emptiness test a read of written data, and
 means a lost executor costs one level, not the whole walk.
 
 Like ``UNION ALL`` recursion, a node reachable along two paths is emitted
-twice; a cycle reachable from a root never empties the frontier, which is
-reported once ``max_depth`` is exceeded instead of looping forever.  Nodes on
+twice.  A root can reach a cycle only if some id has two rows; where ids
+repeat, a walk deeper than the number of rows is reported as a cycle instead
+of looping forever.  There is no other depth limit unless ``max_depth`` is given.  Nodes on
 a cycle that no root reaches are never emitted.
 """
 
@@ -26,7 +27,7 @@ from ..session import default_parallelism, ensure_checkpoint_dir
 SALT = 32
 
 
-def walk_down(edges: DataFrame, id_col: str, parent_col: str, max_depth: int = 100,
+def walk_down(edges: DataFrame, id_col: str, parent_col: str, max_depth: int | None = None,
               keep: tuple = ()) -> DataFrame:
     """Rows ``(id, parent, level, *keep)`` for every node reachable from a root."""
     spark = edges.sparkSession
@@ -40,6 +41,8 @@ def walk_down(edges: DataFrame, id_col: str, parent_col: str, max_depth: int = 1
     frontier = nodes.where(F.col("_h_parent").isNull()).withColumn("_h_level", F.lit(1)).checkpoint(eager=True)
     levels = [frontier]
     depth = 1
+    repeats = not nodes.groupBy("_h_id").agg(F.count(F.lit(1)).alias("n")).where("n > 1").isEmpty()
+    limits = [x for x in (max_depth, nodes.count() if repeats else None) if x is not None]
     while True:
         parents = frontier.select(F.col("_h_id").alias("_h_parent"), F.col("_h_level").alias("_h_plevel"),
                                   salts.alias("_h_salt"))
@@ -49,8 +52,8 @@ def walk_down(edges: DataFrame, id_col: str, parent_col: str, max_depth: int = 1
         if children.count() == 0:  # one job over the checkpointed level
             break
         depth += 1
-        if depth > max_depth:
-            raise RuntimeError(f"hierarchy deeper than {max_depth} levels (or a cycle reachable from a root)")
+        if limits and depth > min(limits):
+            raise RuntimeError(f"hierarchy deeper than {min(limits)} levels (or a cycle reachable from a root)")
         levels.append(children)
         frontier = children
     out = levels[0]

@@ -1,14 +1,17 @@
 """Versioned snapshots with an append-only version pointer.
 
-``publish`` writes a snapshot to ``<base>/v=<n>`` and only then appends the
-number ``n`` to ``<base>/_pointer``; readers resolve the largest number in
-the pointer.  A failed or aborted job leaves no pointer entry, so readers
-never see a partial version (the guarded "transaction" of the reference:
+``publish`` writes a snapshot to a folder of its own and only then appends
+(version, folder) to ``<base>/_pointer``; readers resolve the largest version
+in the pointer.  A failed, aborted or crashed job leaves no pointer entry and
+no folder that a later one would need, so readers never see a partial version
+and the next publish goes ahead (the guarded "transaction" of the reference:
 compute, check, then commit or do nothing).
 """
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.errors import AnalysisException
@@ -16,19 +19,25 @@ from pyspark.errors import AnalysisException
 from .subqueries import any_row
 
 
-def current_version(spark: SparkSession, base: str) -> int:
+def _current(spark: SparkSession, base: str) -> tuple[int, str | None]:
     try:
-        v = spark.read.parquet(f"{base}/_pointer").agg(F.max("version")).first()[0]
-    except AnalysisException:
-        return 0
-    return int(v or 0)
+        row = spark.read.parquet(f"{base}/_pointer").agg(F.max(F.struct("version", "folder")).alias("v")).first()
+    except AnalysisException as exc:
+        if exc.getCondition() != "PATH_NOT_FOUND":
+            raise
+        return 0, None
+    return (row["v"]["version"], row["v"]["folder"]) if row["v"] else (0, None)
+
+
+def current_version(spark: SparkSession, base: str) -> int:
+    return _current(spark, base)[0]
 
 
 def read_current(spark: SparkSession, base: str) -> DataFrame:
-    v = current_version(spark, base)
-    if v == 0:
+    _, folder = _current(spark, base)
+    if folder is None:
         raise FileNotFoundError(f"no published version under {base}")
-    return spark.read.parquet(f"{base}/v={v:06d}")
+    return spark.read.parquet(f"{base}/{folder}")
 
 
 def publish(df: DataFrame, base: str, guard: DataFrame | None = None) -> dict:
@@ -42,8 +51,9 @@ def publish(df: DataFrame, base: str, guard: DataFrame | None = None) -> dict:
     if guard is not None and any_row(guard):
         return {"published": False, "version": cur}
     nxt = cur + 1
-    df.write.mode("errorifexists").parquet(f"{base}/v={nxt:06d}")
-    (spark.createDataFrame([(nxt,)], "version long").coalesce(1)
+    folder = f"snapshot-{nxt:06d}-{uuid.uuid4().hex[:12]}"
+    df.write.mode("errorifexists").parquet(f"{base}/{folder}")
+    (spark.createDataFrame([(nxt, folder)], "version long, folder string").coalesce(1)
           .write.mode("append").parquet(f"{base}/_pointer"))
     return {"published": True, "version": nxt}
 

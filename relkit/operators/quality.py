@@ -62,3 +62,8 @@ def length_violations(df: DataFrame, col: str, max_len: int) -> DataFrame:
 def check_violations(df: DataFrame, predicate: Column) -> DataFrame:
     """Rows for which a CHECK / view check option is FALSE (NULL passes, as in SQL)."""
     return df.where(~F.coalesce(predicate, F.lit(True)))
+
+
+def view_violations(df: DataFrame, predicate: Column) -> DataFrame:
+    """Rows that a view WITH CHECK OPTION rejects: its predicate is not TRUE (a NULL fails)."""
+    return df.where(~F.coalesce(predicate, F.lit(False)))

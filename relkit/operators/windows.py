@@ -4,12 +4,11 @@ A window without ``PARTITION BY`` sends every row to one task, and a window
 partitioned by a hot key sends a third of the table to one task.  The
 operators here avoid both:
 
-* ``global_position`` numbers rows in a total order: rows are cut into
-  balanced key ranges whose boundaries come from a seeded sample, numbered
-  inside their range, and shifted by the row count of the earlier ranges.
-  The bucket of a row is a pure function of its key, so a recomputed
-  partition (lost executor) gets exactly the same numbers.  The offset table
-  has one row per range, so broadcasting it is bounded by configuration.
+* ``global_position`` numbers rows in a total order: Spark's range partitioner
+  deals and sorts them once, and the result, with each row's range and place
+  in it, is written to the shared scratch folder.  Everything later reads that
+  table, so a lost executor cannot change a number, and the rows before each
+  range come from counts, one row per range;
 * ranks derive from positions (first position of each tie group), with
   aggregation before any shuffle of the tie groups;
 * ``lag``/``lead`` join each row to its neighbour by position, an equi-join on
@@ -22,21 +21,15 @@ filter, which plans a partial ``WindowGroupLimit`` before the shuffle.
 
 from __future__ import annotations
 
-import datetime as _dt
 from typing import Sequence
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..session import default_parallelism
+from ..session import default_parallelism, scratch_path
 
-_SAMPLE_PER_BUCKET = 40
-_SAMPLE_SEED = 17
-# Below this many rows per bucket a range is not worth its own task: small
-# inputs get fewer buckets.  An input whose counted size is at most this
-# bound is numbered in one task (no sampling job); the count is the proof of
-# the bound, larger inputs always get several ranges.
-MIN_ROWS_PER_BUCKET = 100_000
+#: ``monotonically_increasing_id`` holds the partition above these bits and the row below them.
+_ROW_BITS = 33
 
 
 class SortKey:
@@ -45,8 +38,8 @@ class SortKey:
     def __init__(self, name: str, ascending: bool = True, nulls_first: bool | None = None):
         self.name = name
         self.ascending = ascending
-        # SQL default: NULLS FIRST for ASC, NULLS LAST for DESC in Spark.
-        self.nulls_first = ascending if nulls_first is None else nulls_first
+        # PostgreSQL's default: NULLS LAST for ASC, NULLS FIRST for DESC.
+        self.nulls_first = not ascending if nulls_first is None else nulls_first
 
     def column(self) -> Column:
         c = F.col(self.name)
@@ -55,11 +48,11 @@ class SortKey:
         return c.desc_nulls_first() if self.nulls_first else c.desc_nulls_last()
 
 
-def asc(name: str, nulls_first: bool = True) -> SortKey:
+def asc(name: str, nulls_first: bool = False) -> SortKey:
     return SortKey(name, True, nulls_first)
 
 
-def desc(name: str, nulls_first: bool = False) -> SortKey:
+def desc(name: str, nulls_first: bool = True) -> SortKey:
     return SortKey(name, False, nulls_first)
 
 
@@ -67,77 +60,24 @@ def _keys(order: Sequence[SortKey | str]) -> list[SortKey]:
     return [k if isinstance(k, SortKey) else SortKey(k) for k in order]
 
 
-def _literal(value, dtype) -> Column:
-    if isinstance(value, _dt.datetime):
-        # Through text so no session/local time-zone shift can apply.
-        return F.lit(value.isoformat(sep=" ")).cast(dtype)
-    return F.lit(value).cast(dtype)
-
-
-def _after(key: SortKey, value, dtype) -> Column:
-    """Row's value of ``key`` sorts strictly after the literal ``value``."""
-    c = F.col(key.name)
-    if value is None:
-        # Non-NULL rows come after a NULL bound only when NULLs sort first.
-        return c.isNotNull() if key.nulls_first else F.lit(False)
-    lit = _literal(value, dtype)
-    cmp = (c > lit) if key.ascending else (c < lit)
-    if key.nulls_first:
-        return F.coalesce(cmp, F.lit(False))
-    return F.coalesce(cmp, F.lit(True))  # NULL row sorts after any value
-
-
-def _tuple_after(keys: list[SortKey], bound: tuple, types: dict) -> Column:
-    """Lexicographic ``row > bound`` in the sort order of ``keys``."""
-    expr = F.lit(False)
-    for key, value in reversed(list(zip(keys, bound))):
-        dtype = types[key.name]
-        if value is None:
-            eq = F.col(key.name).isNull()
-        else:
-            eq = F.col(key.name).eqNullSafe(_literal(value, dtype))
-        expr = _after(key, value, dtype) | (eq & expr)
-    return expr
-
-
-def _bucket_expr(keys: list[SortKey], bounds: list[tuple], types: dict, lo: int, hi: int) -> Column:
-    """Binary search over sorted ``bounds[lo:hi]``: index of the row's range."""
-    if lo >= hi:
-        return F.lit(lo)
-    mid = (lo + hi) // 2
-    return F.when(_tuple_after(keys, bounds[mid], types), _bucket_expr(keys, bounds, types, mid + 1, hi)) \
-            .otherwise(_bucket_expr(keys, bounds, types, lo, mid))
-
-
 def range_buckets(df: DataFrame, order: Sequence[SortKey | str], num_buckets: int | None = None,
-                  name: str = "_bucket") -> DataFrame:
+                  name: str = "_bucket", place: str | None = None) -> DataFrame:
     """Tag rows with the index of their range in the total order ``order``.
 
-    Boundaries come from a seeded sample (at most ``40 * num_buckets`` keys,
-    the only data that reaches the driver), so recomputing a lost partition
-    reproduces exactly the same bucket for every row.  Boundaries are full
-    key tuples, so a hot leading key is split by the remaining keys.
+    One range shuffle and sort over the input, written and read back; with
+    ``place``, also each row's 1-based place in its range.  The ranges are cut
+    on full key tuples, so a hot leading key is split by the remaining keys.
     """
-    keys = _keys(order)
-    n = num_buckets or default_parallelism(df.sparkSession)
-    key_df = df.select(*[k.name for k in keys])
-    total = key_df.count()
-    n = min(n, -(-total // MIN_ROWS_PER_BUCKET))
-    if total == 0 or n <= 1:
-        return df.withColumn(name, F.lit(0))
-    fraction = min(1.0, _SAMPLE_PER_BUCKET * n / total)
-    sample = (key_df.sample(withReplacement=False, fraction=fraction, seed=_SAMPLE_SEED)
-                    .orderBy(*[k.column() for k in keys]).collect())
-    if not sample:
-        return df.withColumn(name, F.lit(0))
-    step = len(sample) / n
-    bounds = []
-    for i in range(1, n):
-        b = tuple(sample[min(len(sample) - 1, int(i * step))])
-        if not bounds or b != bounds[-1]:
-            bounds.append(b)
-    types = {f.name: f.dataType for f in df.schema.fields}
-    return df.withColumn(name, _bucket_expr(keys, bounds, types, 0, len(bounds)))
+    spark = df.sparkSession
+    cols = [k.column() for k in _keys(order)]
+    dealt = (df.repartitionByRange(num_buckets or default_parallelism(spark), *cols).sortWithinPartitions(*cols)
+               .withColumn("_rb_id", F.monotonically_increasing_id()))
+    path = scratch_path(spark, "ranges")
+    dealt.write.parquet(path)
+    out = spark.read.schema(dealt.schema).parquet(path).withColumn(name, F.shiftrightunsigned("_rb_id", _ROW_BITS).cast("int"))
+    if place:
+        out = out.withColumn(place, F.col("_rb_id").bitwiseAND(F.lit((1 << _ROW_BITS) - 1)) + 1)
+    return out.drop("_rb_id")
 
 
 def global_position(df: DataFrame, order: Sequence[SortKey | str], name: str = "pos",
@@ -145,21 +85,18 @@ def global_position(df: DataFrame, order: Sequence[SortKey | str], name: str = "
     """Add a 1-based position of each row in the total order ``order``.
 
     Same result as ``row_number() OVER (ORDER BY order)`` but without moving
-    every row into one task: rows are split into balanced key ranges, numbered
-    inside their range by a window partitioned on the range, and shifted by
-    the row count of all earlier ranges.  The offset table has one row per
+    every row into one task: the place of a row in its range is shifted by the
+    row count of all earlier ranges.  The offset table has one row per
     range (bounded by configuration), so broadcasting it is safe.  Give an
     order that is unique (append a key as tie-break) for a deterministic
     numbering.
     """
     keys = _keys(order)
-    tagged = range_buckets(df, keys, num_buckets, "_gp_b")
+    tagged = range_buckets(df, keys, num_buckets, "_gp_b", "_gp_local")
     counts = tagged.groupBy("_gp_b").agg(F.count(F.lit(1)).alias("_gp_n"))
     before = Window.orderBy("_gp_b").rowsBetween(Window.unboundedPreceding, -1)
     offsets = counts.select("_gp_b", F.coalesce(F.sum("_gp_n").over(before), F.lit(0)).alias("_gp_off"))
-    local = Window.partitionBy("_gp_b").orderBy(*[k.column() for k in keys])
-    numbered = tagged.withColumn("_gp_local", F.row_number().over(local))
-    return (numbered.join(F.broadcast(offsets), "_gp_b")
+    return (tagged.join(F.broadcast(offsets), "_gp_b")
                     .withColumn(name, F.col("_gp_off") + F.col("_gp_local"))
                     .drop("_gp_b", "_gp_local", "_gp_off"))
 

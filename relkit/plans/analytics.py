@@ -329,11 +329,11 @@ THRESHOLD = 60000.0
 
 @query("label_threshold", f"""
 SELECT o_orderkey, {q.rhu('mean_value')} AS mean_value,
-       CASE WHEN mean_value > {THRESHOLD} THEN 'suspected' ELSE 'not suspected' END AS label
+       CASE WHEN mean_value >= {THRESHOLD} THEN 'suspected' ELSE 'not suspected' END AS label
 FROM ({_VISITS_SQL}) t""")
 def label_threshold(spark, d):
     v = _visits(spark, d)
-    label = F.when(F.col("mean_value") > THRESHOLD, "suspected").otherwise("not suspected")
+    label = F.when(F.col("mean_value") >= THRESHOLD, "suspected").otherwise("not suspected")
     return v.select("o_orderkey", fx.round_half_up("mean_value").alias("mean_value"), label.alias("label"))
 
 

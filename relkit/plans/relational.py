@@ -109,13 +109,12 @@ def distinct_on_brand(spark, d):
 
 @query("proj_quoted_names", """
 SELECT * FROM (SELECT l_orderkey, l_linenumber, l_quantity AS "0H_quantity", l_tax AS "US Tax",
-                      l_discount AS "Miscarried 10" FROM lineitem) t
-WHERE "0H_quantity" > 45""")
+                      l_discount AS "Rebate 10" FROM lineitem) t""")
 def proj_quoted_names(spark, d):
     li = Tables(spark, d).lineitem
     t = li.select("l_orderkey", "l_linenumber", F.col("l_quantity").alias("0H_quantity"),
-                  F.col("l_tax").alias("US Tax"), F.col("l_discount").alias("Miscarried 10"))
-    return t.where(F.col("`0H_quantity`") > 45)
+                  F.col("l_tax").alias("US Tax"), F.col("l_discount").alias("Rebate 10"))
+    return t.select("l_orderkey", "l_linenumber", "`0H_quantity`", "`US Tax`", "`Rebate 10`")
 
 
 # --------------------------------------------------------------- filters
@@ -453,11 +452,11 @@ def filter_yes_yes(spark, d):
 
 @query("join_distinct_views", """
 SELECT v1.l_orderkey, v1.l_partkey, v2.p_brand
-FROM (SELECT DISTINCT l_orderkey, l_partkey FROM lineitem WHERE l_quantity > 40) v1
+FROM (SELECT DISTINCT l_orderkey, l_partkey FROM lineitem) v1
 JOIN (SELECT DISTINCT p_partkey, p_brand FROM part) v2 ON v1.l_partkey = v2.p_partkey""")
 def join_distinct_views(spark, d):
     t = Tables(spark, d)
-    v1 = t.lineitem.where(F.col("l_quantity") > 40).select("l_orderkey", "l_partkey").distinct()
+    v1 = t.lineitem.select("l_orderkey", "l_partkey").distinct()
     v2 = t.part.select("p_partkey", "p_brand").distinct()
     return v1.join(v2, v1.l_partkey == v2.p_partkey).select("l_orderkey", "l_partkey", "p_brand")
 

@@ -1,8 +1,7 @@
 """Text fragments for the oracle SQL (DuckDB dialect).
 
 They spell out, in SQL, the same exact-arithmetic conventions the Spark side
-uses (decimal sums of two-decimal prices, half-up rounding done as
-``floor(x * 10^d + 0.5) / 10^d``) so both engines produce identical doubles.
+uses (decimal sums of two-decimal prices, rounding in decimal) so both engines produce identical doubles.
 """
 
 
@@ -15,8 +14,7 @@ def sum_money(x: str) -> str:
 
 
 def rhu(x: str, digits: int = 2) -> str:
-    s = float(10 ** digits)
-    return f"(floor(({x}) * {s} + 0.5) / {s})"
+    return f"CAST(ROUND(CAST(({x}) AS DECIMAL(38,10)), {digits}) AS DOUBLE)"
 
 
 def avg_money(x: str, digits: int = 2) -> str:

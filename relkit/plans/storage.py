@@ -29,21 +29,13 @@ def csv_roundtrip_part(spark, d):
 
 # ------------------------------------------------- month partitions
 
-_MONTHLY = {}
-
-
 def monthly_orders(spark, d):
-    """Orders written once per session as a month-partitioned table."""
-    key = (spark.sparkContext.applicationId, d)
-    if key not in _MONTHLY:
-        o = Tables(spark, d).orders.select("o_orderkey", "o_custkey", "o_totalprice",
-                                           fx.to_day("o_orderdate").alias("order_date"))
-        path = scratch_path(spark, "orders_by_month")
-        files.write_by_month(o, "order_date", path)
-        schema = o.withColumn(files.MONTH, F.lit("")).schema
-        _MONTHLY[key] = (path, schema)
-    path, schema = _MONTHLY[key]
-    return spark.read.schema(schema).parquet(path)
+    """Orders written as a month-partitioned table."""
+    o = Tables(spark, d).orders.select("o_orderkey", "o_custkey", "o_totalprice",
+                                       fx.to_day("o_orderdate").alias("order_date"))
+    path = scratch_path(spark, "orders_by_month")
+    files.write_by_month(o, "order_date", path)
+    return spark.read.schema(o.withColumn(files.MONTH, F.lit("")).schema).parquet(path)
 
 
 _MONTH_SQL = "strftime(o_orderdate, '%Y-%m')"

@@ -55,7 +55,9 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     sc = spark.sparkContext
     configured = spark.conf.get("spark.checkpoint.dir", None) or sc.getCheckpointDir()
     if not configured:
-        # Only reached outside a cluster (tests): no shared folder was named.
+        # No shared folder was named: a private one serves a local master only.
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a folder that the driver and all executors share")
         if _FALLBACK_DIR is None:
             _FALLBACK_DIR = tempfile.mkdtemp(prefix="relkit-ckpt-")
         configured = _FALLBACK_DIR

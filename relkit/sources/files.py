@@ -12,19 +12,26 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 
+#: What the reader gives for a quoted empty field, to tell it from an empty one (NULL).
+_EMPTY = "\u0001empty\u0001"
+
+
 def write_csv(df: DataFrame, path: str) -> None:
-    """Header CSV, one file per task (never funnelled into one writer)."""
-    df.write.mode("overwrite").option("header", True).csv(path)
+    """Header CSV, one file per task; spaces, quotes and backslashes are kept, NULL is empty and '' is quoted."""
+    (df.write.mode("overwrite").option("header", True).option("escape", '"').option("emptyValue", '""')
+       .option("ignoreLeadingWhiteSpace", False).option("ignoreTrailingWhiteSpace", False).csv(path))
 
 
-def read_csv(spark: SparkSession, path: str, schema: StructType | str) -> DataFrame:
-    """Header CSV with an explicit schema; empty fields read as NULL.
+def read_csv(spark: SparkSession, path: str, schema: StructType | str, multi_line: bool = False) -> DataFrame:
+    """Header CSV with an explicit schema; empty fields read as NULL, quoted empty ones as ''.
 
-    Quoted fields may hold commas and line breaks (``multiLine``), and UTF-8
-    text passes through unchanged, as in the reference's CSV files.
+    Quoted fields may hold commas and doubled quotes, and with ``multi_line``
+    line breaks (each file is then read by one task).
     """
-    return (spark.read.schema(schema).option("header", True).option("multiLine", True)
-            .option("encoding", "UTF-8").option("mode", "FAILFAST").csv(path))
+    df = (spark.read.schema(schema).option("header", True).option("multiLine", multi_line).option("escape", '"')
+          .option("emptyValue", _EMPTY).option("encoding", "UTF-8").option("mode", "FAILFAST").csv(path))
+    return df.select(*[F.when(F.col(f"`{c}`") != _EMPTY, F.col(f"`{c}`")).when(F.col(f"`{c}`") == _EMPTY, "").alias(c)
+                       if kind == "string" else F.col(f"`{c}`") for c, kind in df.dtypes])
 
 
 MONTH = "month"

@@ -18,14 +18,6 @@ def spark():
     s.stop()
 
 
-@pytest.fixture(autouse=True)
-def small_buckets(monkeypatch):
-    """Force many range buckets on tiny test inputs so the cross-bucket
-    paths (offsets, boundary rows) are exercised."""
-    from relkit.operators import windows
-    monkeypatch.setattr(windows, "MIN_ROWS_PER_BUCKET", 1)
-
-
 def rows(df, *cols):
     """Rows as sorted tuples (order-insensitive comparisons)."""
     sel = df.select(*cols) if cols else df

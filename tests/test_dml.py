@@ -98,3 +98,18 @@ def test_insert_new_only(spark):
     acc, rej = dml.insert_new_only(target, batch, ["pid"], ["seq"])
     assert rows(acc) == [(2, 2), (3, 4)]
     assert rows(rej, "pid", "seq", "reason") == [(1, 1, "key exists"), (2, 3, "duplicate in batch")]
+
+
+def test_insert_new_only_loses_no_row(spark):
+    target = spark.createDataFrame([(9,)], "pid int")
+    batch = spark.createDataFrame([(5, 1), (5, 1), (5, 1), (6, None), (6, None), (None, 1), (None, 1)], "pid int, seq int")
+    acc, rej = dml.insert_new_only(target, batch, ["pid"], ["seq"])
+    assert rows(acc) == rows(spark.createDataFrame([(5, 1), (6, None), (None, 1), (None, 1)], "pid int, seq int"))
+    assert rows(rej.drop("reason")) == rows(spark.createDataFrame([(5, 1), (5, 1), (6, None)], "pid int, seq int"))
+
+
+def test_insert_names_resolve_or_raise(spark):
+    df = spark.createDataFrame([(1, "a")], "id int, name string")
+    assert rows(dml.insert(df, spark.createDataFrame([(2, "b")], "id int, NAME string")).snapshot) == [(1, "a"), (2, "b")]
+    with pytest.raises(ValueError):
+        dml.insert(df, spark.createDataFrame([(2, "b")], "id int, nick string"))

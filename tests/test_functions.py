@@ -49,7 +49,9 @@ def test_pct_change_zero_and_null_denominator(spark):
 def test_rounding_half_up(spark):
     assert one(spark, fx.round_money(fx.money(F.lit(900.15)) * fx.dec("1.10"))) == 990.17
     assert one(spark, fx.round_half_up(F.lit(1.125), 2)) == 1.13   # exactly representable half
-    assert one(spark, fx.round_half_up(F.lit(-0.5), 0)) == 0.0
+    assert one(spark, fx.round_half_up(F.lit(-0.5), 0)) == -1.0
+    assert one(spark, fx.round_half_up(F.lit(-0.125), 2)) == -0.13
+    assert one(spark, fx.round_half_up(F.lit(1.005), 2)) == 1.01
 
 
 def test_band_keeps_or_labels_null(spark):

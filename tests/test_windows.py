@@ -41,8 +41,8 @@ def test_rank_and_dense_rank_with_ties_and_nulls(spark):
     df = _scores(spark)
     w = Window.orderBy(F.col("score").desc_nulls_last())
     exp = df.withColumn("r", F.rank().over(w)).withColumn("dr", F.dense_rank().over(w))
-    got = global_rank(df, [desc("score")], [asc("id")], "r")
-    got_d = global_rank(df, [desc("score")], [asc("id")], "dr", dense=True)
+    got = global_rank(df, [desc("score", nulls_first=False)], [asc("id")], "r")
+    got_d = global_rank(df, [desc("score", nulls_first=False)], [asc("id")], "dr", dense=True)
     assert rows(got, "id", "r") == rows(exp, "id", F.col("r").cast("long"))
     assert rows(got_d, "id", "dr") == rows(exp, "id", F.col("dr").cast("long"))
 
@@ -78,7 +78,7 @@ def test_lag_hot_partition_key(spark):
 
 def test_distinct_on_and_window_group_limit(spark):
     df = _scores(spark)
-    got = distinct_on(df, ["grp"], [desc("score"), asc("id")])
+    got = distinct_on(df, ["grp"], [desc("score", nulls_first=False), asc("id")])
     assert rows(got, "grp", "id") == [("a", 1), ("b", 5), ("c", 7)]
     plan = got._jdf.queryExecution().executedPlan().toString()
     assert "WindowGroupLimit" in plan
@@ -88,7 +88,7 @@ def test_nth_distinct_value_all_ties_nulls_excluded(spark):
     df = _scores(spark)
     assert rows(rows_at_nth_distinct(df, "score", 2), "id") == [(5,), (6,)]
     assert rows_at_nth_distinct(df, "score", 99).count() == 0
-    per = nth_dense_per_group(df, ["grp"], [desc("score")], 2)
+    per = nth_dense_per_group(df, ["grp"], [desc("score", nulls_first=False)], 2)
     assert rows(per, "grp", "id") == [("a", 8), ("b", 4)]
 
 
@@ -118,3 +118,18 @@ def test_global_cumsum_and_rank_with_hot_tie(spark):
     got = global_rank(df, [desc("v")], name="r")
     ref = df.withColumn("r", F.rank().over(Window.orderBy(F.col("v").desc())).cast("long"))
     assert got.join(ref, ["id"]).where(got["r"] != ref["r"]).count() == 0
+
+
+def test_default_null_placement_is_postgresqls(spark):
+    df = _scores(spark)
+    up = {r["id"]: r["pos"] for r in global_position(df, [asc("score"), asc("id")], "pos").collect()}
+    down = {r["id"]: r["pos"] for r in global_position(df, [desc("score"), asc("id")], "pos").collect()}
+    assert (up[2], up[7]) == (9, 10) and (down[2], down[7]) == (1, 2)
+
+
+def test_many_ranges_need_one_pass_and_no_literal_bounds(spark):
+    df = spark.range(0, 2000).withColumn("k", F.col("id") % 7)
+    got = global_position(df, ["k", "id"], "pos", num_buckets=500)
+    plan = got._jdf.queryExecution().optimizedPlan().toString()
+    assert len(plan) < 20_000 and "Window" in plan
+    assert [r["pos"] for r in got.orderBy("k", "id").collect()] == list(range(1, 2001))
