@@ -10,7 +10,8 @@ file's own licence.
 A licence file - by its name, or because its notices make up ``OWN_SHARE`` of
 its words - speaks for its directory.  Every directory is joined with its
 ancestors by path, and a file without an own licence inherits from the nearest
-ancestor directory that has one.
+ancestor directory that has one.  The largest directories are salted in these
+joins, as one source may hold a third of all files.
 
 Defined cases: NULL or empty text has no own licence and can inherit; a NULL
 path is a file of the root directory; equal scores go to the name first in
@@ -52,6 +53,8 @@ TEMPLATES: dict[str, Sequence[str]] = {
 CUE = r"(?i)licen[sc]e"
 LIKE = 0.75
 OWN_SHARE = 0.3
+#: So many of the largest directories are spread over so many places in the joins by path.
+HOT_KEYS, SALTS = 64, 64
 FILE_NAME = r"(?i)^(un)?(licen[sc]e|copying|notice)([.-].*)?$"
 _WORD = "[a-z0-9]+(?:[.-][a-z0-9]+)*"
 _NOT_WORD = r"[^a-z0-9.-]+"
@@ -149,6 +152,21 @@ def scan_licenses(files: DataFrame, key: str = "doc_id", templates: Mapping[str,
     return _inherit(own).withColumnRenamed("key", key)
 
 
+def _join_spread(left: DataFrame, right: DataFrame, key: str, other: str, how: str, spread_by: list[str]) -> DataFrame:
+    """``left`` joined with ``right`` (one row per ``other``) on ``key`` = ``other``.
+
+    The ``HOT_KEYS`` keys with the most rows in ``left`` are dealt over ``SALTS``
+    places by a hash of ``spread_by``, and their rows of ``right`` stand in each.
+    """
+    hot = left.groupBy(key).agg(F.count(F.lit(1)).alias("_n")).orderBy(F.desc("_n"), key).limit(HOT_KEYS).select(F.col(key).alias("_hot"))
+    is_hot = F.col("_hot").isNotNull()
+    many = left.join(F.broadcast(hot), F.col(key) == F.col("_hot"), "left").withColumn(
+        "_salt", F.when(is_hot, F.pmod(F.xxhash64(*spread_by), F.lit(SALTS))).otherwise(0).cast("int")).drop("_hot")
+    places = F.when(is_hot, F.sequence(F.lit(0), F.lit(SALTS - 1))).otherwise(F.array(F.lit(0)))
+    one = right.join(F.broadcast(hot), F.col(other) == F.col("_hot"), "left").withColumn("_place", F.explode(places)).drop("_hot")
+    return many.join(one, (F.col(key) == F.col(other)) & (F.col("_salt") == F.col("_place")), how).drop("_salt", "_place")
+
+
 def _inherit(own: DataFrame) -> DataFrame:
     base = F.regexp_extract("path", r"([^/]*)$", 1)
     speaks = F.col("own_license").isNotNull() & (base.rlike(FILE_NAME) | (F.col("notice_words") >= OWN_SHARE * F.col("n_words")))
@@ -158,10 +176,10 @@ def _inherit(own: DataFrame) -> DataFrame:
     # Each directory with itself and its ancestors, the root (depth 0) included.
     above = own.select("dir").distinct().select("dir", F.explode(F.sequence(F.lit(0), F.when(F.col("dir") == "", 0).otherwise(F.size(parts)))).alias("depth"))
     above = above.withColumn("ancestor", F.array_join(F.slice(parts, F.lit(1), F.col("depth")), "/"))
-    nearest = (above.join(granted, F.col("ancestor") == F.col("granting"))
+    nearest = (_join_spread(above, granted, "ancestor", "granting", "inner", ["dir"])
                .groupBy("dir").agg(F.max(F.struct("depth", "granted", "ancestor")).alias("n"))
                .select(F.col("dir").alias("d"), F.col("n.granted").alias("granted"), F.col("n.ancestor").alias("ancestor")))
-    with_dir = own.join(nearest, F.col("dir") == F.col("d"), "left")
+    with_dir = _join_spread(own, nearest, "dir", "d", "left", ["key", "path"])
     has_own = F.col("own_license").isNotNull()
     return with_dir.select(
         "key", "path", "own_license", "own_score", F.coalesce("own_license", "granted").alias("license"),
