@@ -8,12 +8,14 @@ estimate unbiased and lowers its variance.  The values are cut into bands of
 ``ROWS``; the number of bands follows from the threshold and ``MISS``, the
 probability that a pair exactly at the threshold shares no band.
 
-Work is done on classes of equal shingle sets.  A band bucket never emits all
-its pairs: each round compares every member with a few pivots of its bucket,
-on full sets, and then drops buckets whose members are already connected.  The
-number of pivots grows sixteenfold each round and a pivot leaves its bucket once
-it has met all others, so every bucket ends with all its links known: a large
-group of copies ends after its first round, and no link is lost to a cap.
+Work is done on classes of equal shingle sets.  A band bucket never emits its
+pairs: every member is compared with a few pivots of its bucket on full sets,
+and a bucket whose members are then connected is done.  Members of the others
+are dealt into blocks of bounded size, and every two blocks are compared on full
+sets in one task, which returns only the links that connect.  Nothing is capped.
+The comparisons of a bucket that stays unconnected grow with the square of its
+members outside its largest component; rows and shuffled bytes grow with its
+members times its blocks.
 
 Defined cases: NULL or empty text, or text without words, has an empty set and
 is linked with nothing; fewer than five words make one shingle; repeated rows
@@ -26,7 +28,6 @@ from __future__ import annotations
 
 import math
 from collections.abc import Iterator
-from functools import reduce
 
 import numpy as np
 import pyarrow as pa
@@ -40,8 +41,10 @@ from .util import batch, prepare, stored, text_or_empty
 
 ROWS = 5
 MISS = 1e-7
-#: Pivots of a bucket in the first round, and how many times as many in each further round.
-PIVOTS, GROWTH = 4, 16
+#: Members of a bucket that all others are compared with first.
+PIVOTS = 4
+#: Shingles in a block of a bucket that the pivots leave unconnected; a set counts as ``LEAST`` at least.
+BLOCK, LEAST = 1 << 17, 128
 
 
 def n_bands(threshold: float, rows: int = ROWS, miss: float = MISS) -> int:
@@ -128,7 +131,7 @@ def near_duplicates(docs: DataFrame, num: int = 80, den: int = 100) -> DataFrame
         feats.where(F.col("cls").isNotNull()).groupBy("cls")
         .agg(F.min("doc_id").alias("least_id"), F.min(F.struct("doc_id", "t1", "t2")).alias("rep"),
              F.min(F.when(F.col("doc_id").isNotNull(), F.struct("doc_id", "t1", "t2"))).alias("top"),
-             F.first("bands").alias("bands")), "nd-classes")
+             F.first("bands").alias("bands"), F.first("n_shingles").alias("size")), "nd-classes")
     labels = _label(rows, classes, num, den)
     if labels is None:
         named = classes.select("cls", "least_id", F.coalesce("top", "rep").alias("top"))
@@ -153,9 +156,9 @@ def near_duplicates(docs: DataFrame, num: int = 80, den: int = 100) -> DataFrame
 
 def _label(rows: DataFrame, classes: DataFrame, num: int, den: int) -> DataFrame | None:
     """(node, root) of the classes that have a link; None when no bucket has two members."""
-    banded = classes.select("cls", F.explode("bands").alias("key"))
+    banded = classes.select("cls", F.greatest("size", F.lit(LEAST)).alias("weight"), F.explode("bands").alias("key"))
     shared = banded.groupBy("key").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select(F.col("key").alias("k"))
-    left = stored(banded.join(shared, F.col("key") == F.col("k")).select("key", "cls"), "nd-members")
+    left = stored(banded.join(shared, F.col("key") == F.col("k")).select("key", "cls", "weight"), "nd-members")
     if left.isEmpty():
         return None
     involved = classes.join(left.select(F.col("cls").alias("m")).distinct(), F.col("cls") == F.col("m"), "left_semi")
@@ -164,29 +167,101 @@ def _label(rows: DataFrame, classes: DataFrame, num: int, den: int) -> DataFrame
                       & (F.col("t2") == F.col("r_t2")), "left_semi").select("text")
     # Repeated rows give their set twice; one copy of each is kept.
     sets = stored(texts.mapInArrow(_sets, _spark_schema(_SETS)).groupBy("cls").agg(F.first("s").alias("s")), "nd-sets")
-    labels, pivots = None, PIVOTS
-    while True:
-        if labels is None:
-            at = left.withColumn("label", F.col("cls"))
-        else:
-            at = left.join(labels, F.col("cls") == F.col("node"), "left").select(
-                "key", "cls", F.coalesce("root", "cls").alias("label"))
-            spread = (at.groupBy("key").agg(F.min("label").alias("lo"), F.max("label").alias("hi"))
-                      .where(F.col("lo") != F.col("hi")).select(F.col("key").alias("k")))
-            at = stored(at.join(spread, F.col("key") == F.col("k"), "left_semi"), "nd-open")
-            if at.isEmpty():
-                return labels
-        nth = F.row_number().over(Window.partitionBy("key").orderBy("cls"))
-        pivot = at.withColumn("nth", nth).where(F.col("nth") <= pivots).select(
-            F.col("key").alias("pk"), F.col("cls").alias("pc"), F.col("label").alias("pl"))
-        pairs = (at.join(pivot, (F.col("key") == F.col("pk")) & (F.col("label") != F.col("pl")))
-                 .select(F.greatest("cls", "pc").alias("a"), F.least("cls", "pc").alias("b")).distinct())
-        found = _verified(pairs, sets, num, den)
-        # What is known so far goes in as stars, so only the new links have to be contracted.
-        known = [] if labels is None else [labels.select(F.col("node").alias("a"), F.col("root").alias("b"))]
-        labels = components(reduce(DataFrame.unionByName, known, found))
-        left = at.join(pivot, (F.col("key") == F.col("pk")) & (F.col("cls") == F.col("pc")), "left_anti").select("key", "cls")
-        pivots *= GROWTH
+    nth = F.row_number().over(Window.partitionBy("key").orderBy("cls"))
+    pivot = left.withColumn("nth", nth).where(F.col("nth") <= PIVOTS).select(F.col("key").alias("pk"), F.col("cls").alias("pc"))
+    pairs = (left.join(pivot, (F.col("key") == F.col("pk")) & (F.col("cls") != F.col("pc")))
+             .select(F.greatest("cls", "pc").alias("a"), F.least("cls", "pc").alias("b")).distinct())
+    labels = components(_verified(pairs, sets, num, den))
+    links = stored(_open_links(left, labels, sets, num, den), "nd-links")
+    if links.isEmpty():
+        return labels
+    # What is known so far goes in as stars, so only the new links have to be contracted.
+    return components(labels.select(F.col("node").alias("a"), F.col("root").alias("b")).unionByName(links))
+
+
+def _open_links(members: DataFrame, labels: DataFrame, sets: DataFrame, num: int, den: int) -> DataFrame:
+    """Links between labels, from all pairs of different labels that share a bucket.
+
+    A bucket's members are dealt by hash into blocks of about ``BLOCK`` shingles;
+    a task compares two blocks and returns links that connect the same labels as
+    all links do.  Blocks of the label with the most members are not compared
+    with each other.
+    """
+    at = members.join(labels, F.col("cls") == F.col("node"), "left").select(
+        "key", "cls", "weight", F.coalesce("root", "cls").alias("label"))
+    per_label = at.groupBy("key", "label").agg(F.sum("weight").alias("w"))
+    per_key = (per_label.groupBy("key").agg(F.max(F.struct("w", "label")).alias("top"), F.sum("w").alias("w"),
+                                            F.count(F.lit(1)).alias("labels"))
+               .where("labels > 1")
+               .select(F.col("key").alias("k"), F.col("top.label").alias("top"),
+                       F.ceil((F.col("w") - F.col("top.w")) / BLOCK).cast("int").alias("n_rest"),
+                       F.ceil(F.col("top.w") / BLOCK).cast("int").alias("n_top")))
+    at = at.join(per_key, F.col("key") == F.col("k"))
+    spot = F.xxhash64("cls")
+    is_top = F.col("label") == F.col("top")
+    block = F.when(is_top, F.col("n_rest") + F.pmod(spot, F.col("n_top"))).otherwise(F.pmod(spot, F.col("n_rest"))).cast("int")
+    others = F.when(is_top, F.col("n_rest")).otherwise(F.col("n_rest") + F.col("n_top"))
+    dealt = at.select("key", "cls", "label", block.alias("block"), F.explode(F.sequence(F.lit(0), others - 1)).alias("other"))
+    dealt = dealt.select("key", F.least("block", "other").alias("p"), F.greatest("block", "other").alias("q"),
+                         "block", "cls", "label")
+    whole = dealt.join(sets.select(F.col("cls").alias("c"), "s"), F.col("cls") == F.col("c")).drop("c", "cls")
+    return whole.groupBy("key", "p", "q").applyInArrow(_compare(num, den), _spark_schema(_EDGES))
+
+
+def _compare(num: int, den: int):
+    """Links between the two blocks of one group, or inside its one block."""
+    def run(table: pa.Table) -> pa.Table:
+        p, q = table.column("p")[0].as_py(), table.column("q")[0].as_py()
+        block = table.column("block").to_numpy()
+        label = table.column("label").to_pylist()
+        sets = [np.frombuffer(v.as_buffer(), np.uint64) for v in table.column("s")]
+        one, two = np.flatnonzero(block == p), np.flatnonzero(block == q)
+        both = common_counts([sets[i] for i in one], [sets[i] for i in two])
+        size = np.array([len(s) for s in sets], np.int64)
+        linked = den * both >= num * (size[one][:, None] + size[two][None, :] - both)
+        names = {name: i for i, name in enumerate(sorted(set(label)))}
+        of = np.array([names[x] for x in label], np.int64)
+        i, j = np.nonzero(linked & (of[one][:, None] != of[two][None, :]))
+        found = np.unique(np.stack([of[one[i]], of[two[j]]], axis=1), axis=0)
+        root, edges = list(range(len(names))), []
+        name = list(names)
+
+        def top(x: int) -> int:
+            while root[x] != x:
+                root[x] = x = root[root[x]]
+            return x
+
+        for x, y in found.tolist():
+            if top(x) != top(y):
+                root[top(x)] = top(y)
+                edges.append((name[x], name[y]))
+        return pa.table([pa.array([e[0] for e in edges], pa.binary()), pa.array([e[1] for e in edges], pa.binary())], schema=_EDGES)
+    return run
+
+
+def common_counts(one: list[np.ndarray], two: list[np.ndarray], width: int = 2048) -> np.ndarray:
+    """How many values each set of ``one`` shares with each of ``two``, ``width`` values at a time."""
+    sides = []
+    for group in (one, two):
+        values = np.concatenate([np.zeros(0, np.uint64), *group])
+        sides.append((values, np.repeat(np.arange(len(group)), [len(s) for s in group])))
+    shared = np.intersect1d(sides[0][0], sides[1][0])
+    placed = []
+    for values, row in sides:
+        at = np.searchsorted(shared, values)
+        hit = np.flatnonzero(shared[np.minimum(at, len(shared) - 1)] == values) if len(shared) else np.zeros(0, np.int64)
+        hit = hit[np.argsort(at[hit], kind="stable")]
+        placed.append((at[hit], row[hit]))
+    out = np.zeros((len(one), len(two)), np.int64)
+    for start in range(0, len(shared), width):
+        cells = []
+        for (at, row), group in zip(placed, (one, two)):
+            lo, hi = np.searchsorted(at, [start, start + width])
+            m = np.zeros((len(group), min(width, len(shared) - start)), np.float32)
+            m[row[lo:hi], at[lo:hi] - start] = 1
+            cells.append(m)
+        out += (cells[0] @ cells[1].T).astype(np.int64)
+    return out
 
 
 def _verified(pairs: DataFrame, sets: DataFrame, num: int, den: int) -> DataFrame:

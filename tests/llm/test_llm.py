@@ -484,3 +484,33 @@ def test_pipeline_stages(spark):
     packed = p.run(spark, SF_SMALL)
     assert packed.where("length > 2048").count() == 0
     assert {r["doc_id"] for r in packed.select("doc_id").distinct().collect()} == {r["doc_id"] for r in before.collect()}
+
+
+def test_open_buckets_in_many_blocks(spark, monkeypatch):
+    """Variants of one text that do not all connect: blocks of a bucket against all pairs."""
+    monkeypatch.setattr(near_dedup, "BLOCK", 4 * near_dedup.LEAST)
+    rng = np.random.default_rng(5)
+    base = [f"w{i}" for i in range(90)]
+    rows = []
+    for d in range(70):
+        words = list(base)
+        for at in rng.choice(90, int(rng.integers(0, 7)), replace=False):
+            words[at] = f"x{int(rng.integers(0, 3))}-{at}"
+        rows.append((d, " ".join(words)))
+    sets = {d: {tuple(t.split()[i:i + 5]) for i in range(len(t.split()) - 4)} for d, t in rows}
+    least = {d: d for d in sets}
+    for _ in range(12):
+        for a in sets:
+            for b in sets:
+                if 100 * len(sets[a] & sets[b]) >= 85 * len(sets[a] | sets[b]):
+                    least[a] = least[b] = min(least[a], least[b])
+    got = near_dedup.near_duplicates(spark.createDataFrame(rows, "doc_id long, text string"), 85, 100).collect()
+    assert {r["doc_id"]: r["component_id"] for r in got} == least
+    assert 1 < len(set(least.values())) < len(rows)
+
+
+def test_common_counts():
+    rng = np.random.default_rng(6)
+    one, two = ([np.unique(rng.integers(0, 300, int(n)).astype(np.uint64)) for n in rng.integers(0, 200, 12)] for _ in range(2))
+    got = near_dedup.common_counts(one, two, width=32)
+    assert got.tolist() == [[len(np.intersect1d(a, b)) for b in two] for a in one]
