@@ -49,6 +49,26 @@ def full_outer_coalesced(left: DataFrame, right: DataFrame, key: str,
     return j.withColumn(key, F.coalesce("_fo_l", "_fo_r")).drop("_fo_l", "_fo_r")
 
 
+def full_outer_lookup(left: DataFrame, lookup: DataFrame, key: str,
+                      left_key: str | None = None, right_key: str | None = None) -> DataFrame:
+    """FULL OUTER JOIN of a large frame with a lookup table on a few hot keys.
+
+    A full outer join can be neither broadcast nor split, so a key with a third
+    of the rows lands in one task.  Here the large side is left-joined (Spark
+    may broadcast the lookup, or AQE split the key), and the lookup rows that
+    no distinct key of the large side meets are added.  Rows of either side
+    with a NULL key match nothing and are kept.
+    """
+    lk, rk = left_key or key, right_key or key
+    l2 = left.withColumnRenamed(lk, "_fo_l")
+    r2 = lookup.withColumnRenamed(rk, "_fo_r")
+    matched = l2.join(r2, F.col("_fo_l") == F.col("_fo_r"), "left")
+    held = l2.select("_fo_l").distinct()
+    rest = r2.join(held, F.col("_fo_l") == F.col("_fo_r"), "left_anti")
+    both = matched.unionByName(rest, allowMissingColumns=True)
+    return both.withColumn(key, F.coalesce("_fo_l", "_fo_r")).drop("_fo_l", "_fo_r")
+
+
 def self_parent(df: DataFrame, id_col: str, parent_col: str, keep: Sequence[str],
                 prefix: str = "parent_") -> DataFrame:
     """Each row with its parent's columns (LEFT self join; roots get NULLs)."""

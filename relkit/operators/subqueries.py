@@ -60,10 +60,10 @@ def gt_all(df: DataFrame, col: str, sub: DataFrame, sub_col: str) -> DataFrame:
     non-empty subquery: the comparison is never TRUE.  Otherwise
     ``col > max(sub_col)``.
     """
-    stats = _one_row(sub.agg(F.max(sub_col).alias("_ga_mx"), F.count(F.lit(1)).alias("_ga_n"),
-                             F.count(sub_col).alias("_ga_nn")))
-    keep = (F.col("_ga_n") == 0) | ((F.col("_ga_n") == F.col("_ga_nn")) & (F.col(col) > F.col("_ga_mx")))
-    return df.crossJoin(stats).where(keep).drop("_ga_mx", "_ga_n", "_ga_nn")
+    stats = sub.agg(F.struct(F.max(sub_col).alias("mx"), F.count(F.lit(1)).alias("n"),
+                             F.count(sub_col).alias("nn"))).scalar()
+    n, nn, mx = (stats.getField(f) for f in ("n", "nn", "mx"))
+    return df.where((n == 0) | ((n == nn) & (F.col(col) > mx)))
 
 
 def eq_scalar(df: DataFrame, col: str, value_frame: DataFrame) -> DataFrame:

@@ -265,11 +265,12 @@ def join_left_chain(spark, d):
     s = t.supplier.select("s_suppkey", "s_name", "s_nationkey")
     n = t.nation.select("n_nationkey", "n_name", "n_regionkey")
     r = t.region
+    # Suppliers get their nation and region first, so the order lines are joined once with all three.
+    places = (s.join(n, F.col("n_nationkey") == F.col("s_nationkey"), "left")
+               .join(r, F.col("r_regionkey") == F.col("n_regionkey"), "left"))
     j = (o.join(li, o.o_orderkey == li.l_orderkey, "left")
           .join(p, F.col("p_partkey") == F.col("l_partkey"), "left")
-          .join(s, F.col("s_suppkey") == F.col("l_suppkey"), "left")
-          .join(n, F.col("n_nationkey") == F.col("s_nationkey"), "left")
-          .join(r, F.col("r_regionkey") == F.col("n_regionkey"), "left"))
+          .join(places, F.col("s_suppkey") == F.col("l_suppkey"), "left"))
     return j.select("o_orderkey", "l_linenumber", "p_name",
                     fx.pg_concat("s_name", F.lit(" ("), "n_name", F.lit(")")).alias("supplier_label"),
                     "r_name")
@@ -277,15 +278,15 @@ def join_left_chain(spark, d):
 
 @query("join_right_part", """
 SELECT p_partkey, p_name, l_orderkey, l_quantity
-FROM (SELECT * FROM lineitem WHERE l_quantity > 48 AND year(l_shipdate) = 1996) li
-RIGHT JOIN part ON l_partkey = p_partkey""")
+FROM lineitem RIGHT JOIN part ON l_partkey + 10 = p_partkey""")
 def join_right_part(spark, d):
+    """Every part with the order lines of the part it replaced (its number is
+    ten lower); the first ten parts replaced none."""
     t = Tables(spark, d)
-    li = (t.lineitem.where((F.col("l_quantity") > 48) & _date_range("l_shipdate", "1996-01-01", "1997-01-01"))
-           .select("l_partkey", "l_orderkey", "l_quantity"))
+    li = t.lineitem.select((F.col("l_partkey") + 10).alias("successor"), "l_orderkey", "l_quantity")
     p = t.part.select("p_partkey", "p_name")
-    return li.join(p, li.l_partkey == p.p_partkey, "right").select("p_partkey", "p_name", "l_orderkey",
-                                                                    "l_quantity")
+    return li.join(p, li.successor == p.p_partkey, "right").select("p_partkey", "p_name", "l_orderkey",
+                                                                   "l_quantity")
 
 
 # The category table of the full-outer-join example (one
@@ -308,7 +309,8 @@ ON p.p_type = c.category""")
 def join_full_outer(spark, d):
     cats = spark.createDataFrame(CATEGORIES, "category string, description string")
     p = Tables(spark, d).part.select("p_partkey", "p_type")
-    j = joins.full_outer_coalesced(p, cats, "category", left_key="p_type", right_key="category")
+    # The category table is the fixed list above, so its broadcast is bounded.
+    j = joins.full_outer_lookup(p, F.broadcast(cats), "category", left_key="p_type", right_key="category")
     return j.select("p_partkey", "category", "description")
 
 

@@ -181,21 +181,28 @@ def dq_check(spark, d):
                       fx.to_day("o_orderdate").alias("order_date"))
 
 
-@query("dq_self_fk", f"""
-WITH emp AS (SELECT c_custkey, {_MANAGER_SQL} AS manager_key FROM customer WHERE c_acctbal >= 0)
-SELECT count(*) AS n_checked,
-       count(*) FILTER (WHERE manager_key IS NOT NULL AND manager_key NOT IN (SELECT c_custkey FROM emp))
-         AS n_orphans
-FROM emp""")
+_SELF_POINTERS = {"manager": _MANAGER_SQL, "next_customer": "c_custkey + 1"}
+
+
+@query("dq_self_fk", " UNION ALL ".join(f"""
+SELECT '{name}' AS pointer, count(*) AS n_checked,
+       count(*) FILTER (WHERE target IS NOT NULL AND target NOT IN (SELECT c_custkey FROM customer)) AS n_orphans
+FROM (SELECT {sql} AS target FROM customer) t""" for name, sql in _SELF_POINTERS.items()))
 def dq_self_fk(spark, d):
-    """Manager pointers of the active (non-negative balance) customers must
-    reference an active customer."""
-    c = Tables(spark, d).customer
-    emp = c.where(F.col("c_acctbal") >= 0).select("c_custkey", manager_of().alias("manager_key"))
-    orphans = quality.foreign_key_violations(emp, ["manager_key"], emp, ["c_custkey"])
-    # Two one-row aggregates side by side: a 1 x 1 cross join.
-    return emp.agg(F.count(F.lit(1)).alias("n_checked")).crossJoin(
-        orphans.agg(F.count(F.lit(1)).alias("n_orphans")))
+    """Pointers of all customers into their own table: the manager, and the
+    next customer number (which the last customer lacks)."""
+    c = Tables(spark, d).customer.select("c_custkey", manager_of().alias("manager"),
+                                         (F.col("c_custkey") + 1).alias("next_customer"))
+    out = None
+    for name in _SELF_POINTERS:
+        orphans = quality.foreign_key_violations(c.select(name), [name], c, ["c_custkey"])
+        row = (c.select(F.lit(1).alias("checked"), F.lit(0).alias("orphan"))
+                .unionByName(orphans.select(F.lit(0).alias("checked"), F.lit(1).alias("orphan")))
+                .agg(F.coalesce(F.sum("checked"), F.lit(0)).alias("n_checked"),
+                     F.coalesce(F.sum("orphan"), F.lit(0)).alias("n_orphans"))
+                .select(F.lit(name).alias("pointer"), "n_checked", "n_orphans"))
+        out = row if out is None else out.unionByName(row)
+    return out
 
 
 PROFILED_AT = "2024-01-01 00:00:00"

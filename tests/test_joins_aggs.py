@@ -65,3 +65,14 @@ def test_null_sort_keys_follow_sql_defaults(spark):
     asc_first = [r["id"] for r in df.orderBy(F.col("v").asc_nulls_last()).collect()]
     desc_first = [r["id"] for r in df.orderBy(F.col("v").desc_nulls_first()).collect()]
     assert asc_first == [3, 1, 2] and desc_first == [2, 1, 3]   # PostgreSQL: NULLs largest
+
+
+def test_full_outer_lookup_equals_full_outer(spark):
+    left = spark.createDataFrame([(1, "a"), (2, "a"), (3, "b"), (4, None)], "id int, k string")
+    lookup = spark.createDataFrame([("a", "x"), ("a", "y"), ("c", "z"), (None, "n")], "rk string, d string")
+    plain = joins.full_outer_coalesced(left, lookup, "key", left_key="k", right_key="rk")
+    split = joins.full_outer_lookup(left, lookup, "key", left_key="k", right_key="rk")
+    assert rows(split, "id", "key", "d") == rows(plain, "id", "key", "d")
+    empty = joins.full_outer_lookup(left.limit(0), lookup, "key", left_key="k", right_key="rk")
+    assert sorted(r.d for r in empty.collect()) == ["n", "x", "y", "z"]
+    assert rows(joins.full_outer_lookup(left, lookup.limit(0), "key", left_key="k", right_key="rk"), "id") == [(1,), (2,), (3,), (4,)]
