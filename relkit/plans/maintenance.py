@@ -304,3 +304,22 @@ def guarded_update(spark, d):
         "p_partkey", F.col("p_retailprice").alias("new_price"))
     publish.publish(res.snapshot, scratch_path(spark, "guarded_part"), guard=violations)
     return violations
+
+
+@query("guarded_commit", f"""
+SELECT p_partkey, p_type, CASE WHEN p_type = 'PROMO' THEN {_priced_sql('1.10')} ELSE p_retailprice END AS p_retailprice
+FROM part""")
+def guarded_commit(spark, d):
+    """A guarded update that commits, a later one that aborts, and the version read back.
+
+    The first guard (no price below zero) finds nothing, so the repriced
+    snapshot is published; the second (any price at all) fires, so the emptied
+    table it guards is not.
+    """
+    p = Tables(spark, d).part
+    base = scratch_path(spark, "committed_part")
+    res = dml.update(p, {"p_retailprice": _priced("1.10")}, F.col("p_type") == "PROMO")
+    publish.publish(res.snapshot, base, guard=res.returning.where(F.col("p_retailprice") < 0))
+    committed = publish.read_current(spark, base)
+    publish.publish(committed.limit(0), base, guard=committed.where(F.col("p_retailprice") >= 0))
+    return publish.read_current(spark, base).select("p_partkey", "p_type", "p_retailprice")

@@ -215,3 +215,24 @@ PROFILED_AT = "2024-01-01 00:00:00"
     for c in ("c_custkey", "c_name", "c_nationkey", "c_acctbal", "c_mktsegment")))
 def profile_columns(spark, d):
     return prof.profile(Tables(spark, d).customer, profiled_at=PROFILED_AT)
+
+
+_FREQUENT = [("part", "p_type"), ("customer", "c_nationkey"), ("lineitem", "l_shipdate")]
+
+
+@query("profile_frequent", " UNION ALL ".join(f"""
+SELECT * FROM (SELECT '{col}' AS column_name, strftime({col}, '%Y-%m-%d') AS value, count(*) AS freq FROM {table}
+               GROUP BY 2 ORDER BY freq DESC, value NULLS LAST LIMIT 5) t{i}""" if col == "l_shipdate" else f"""
+SELECT * FROM (SELECT '{col}' AS column_name, CAST({col} AS VARCHAR) AS value, count(*) AS freq FROM {table}
+               GROUP BY 2 ORDER BY freq DESC, value NULLS LAST LIMIT 5) t{i}"""
+    for i, (table, col) in enumerate(_FREQUENT)))
+def profile_frequent(spark, d):
+    """The five most common values of a column, as a planner's statistics list them."""
+    t = Tables(spark, d)
+    out = None
+    for table, col in _FREQUENT:
+        value = F.date_format(col, "yyyy-MM-dd") if col == "l_shipdate" else F.col(col).cast("string")
+        top = prof.frequent_values(getattr(t, table).select(value.alias("value")), "value")
+        top = top.select(F.lit(col).alias("column_name"), "value", "freq")
+        out = top if out is None else out.unionByName(top)
+    return out
