@@ -11,9 +11,10 @@ The language with the shortest code wins; the score is its probability among
 the languages when each code length is read as -log2 of a likelihood.
 
 Learning takes a bounded sample, about ``SAMPLE_DOCS`` whole documents per
-language chosen by a hash of doc_id, counts their 4-byte strings on the
-executors and keeps the ``MAX_GRAMS`` most frequent (string, language) counts,
-which bounds the model that is broadcast.  Prediction reads whole texts.
+language chosen by a hash of doc_id, and counts their 4-byte strings on the
+executors.  Every count is kept, and each language has a table of its own, so
+no language depends on how many others there are; the sample bounds the model
+that is broadcast.  Prediction reads whole texts.
 
 Defined cases: NULL or empty text, or text without a letter, is ``und`` with
 score 0.0, and so is every text when nothing was learned; rows with a NULL
@@ -36,7 +37,6 @@ from .util import batch, prepare, text_or_empty
 
 ORDER = 3
 SAMPLE_DOCS = 2000
-MAX_GRAMS = 1 << 20
 _PAD = b"\n" * ORDER
 #: Bytes scored or counted at a time.
 _BLOCK = 1 << 20
@@ -87,42 +87,18 @@ def _count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                 yield batch(_COUNTS, [lang] * len(seen), seen.astype(np.int64), n.astype(np.int64))
 
 
-class _Index:
-    """Places of sorted distinct 32-bit keys, by open addressing."""
-
-    def __init__(self, keys: np.ndarray) -> None:
-        self._bits = max(4, int(len(keys)).bit_length() + 2)
-        self._keys = np.zeros(1 << self._bits, np.uint32)
-        self._places = np.full(1 << self._bits, -1, np.int32)
-        left, at = np.arange(len(keys)), self._slot(keys)
-        while len(left):
-            free = self._places[at[left]] < 0
-            slot, first = np.unique(at[left][free], return_index=True)
-            won = left[free][first]
-            self._places[slot], self._keys[slot] = won, keys[won]
-            left = np.setdiff1d(left, won, assume_unique=True)
-            at[left] = (at[left] + 1) & ((1 << self._bits) - 1)
-
-    def _slot(self, keys: np.ndarray) -> np.ndarray:
-        return (keys * np.uint32(2654435761) >> np.uint32(32 - self._bits)).astype(np.int64)
-
-    def find(self, keys: np.ndarray) -> np.ndarray:
-        """The place of each key, -1 for keys that are not there."""
-        at = self._slot(keys)
-        places = self._places[at]
-        odd = np.flatnonzero((self._keys[at] != keys) & (places >= 0))
-        while len(odd):
-            at[odd] = (at[odd] + 1) & ((1 << self._bits) - 1)
-            places[odd] = self._places[at[odd]]
-            odd = odd[(self._keys[at[odd]] != keys[odd]) & (places[odd] >= 0)]
-        return places
+def _find(keys: np.ndarray, wanted: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The place of each wanted value among sorted distinct keys, and whether it is there."""
+    if not len(keys):
+        return np.zeros(len(wanted), np.int64), np.zeros(len(wanted), bool)
+    places = np.minimum(np.searchsorted(keys, wanted), len(keys) - 1)
+    return places, keys[places] == wanted
 
 
 @dataclass
-class Model:
-    """Frozen code lengths in bits; tables have a column per language."""
+class Tree:
+    """Frozen code lengths in bits of one language."""
 
-    langs: list[str]
     grams: list[np.ndarray]     # seen strings of 3 and of 4 bytes
     cost: list[np.ndarray]      # code length of the last byte, per seen string
     contexts: np.ndarray        # seen contexts of 3 bytes
@@ -130,41 +106,38 @@ class Model:
     escape2: np.ndarray         # escape per context of 2 bytes
     cost1: np.ndarray           # code length per string of 2 bytes
 
-    def __post_init__(self) -> None:
-        self._index = [_Index(g) for g in self.grams]
-        self._contexts = _Index(self.contexts)
-
-    def __getstate__(self) -> dict:
-        return {k: v for k, v in self.__dict__.items() if not k.startswith("_")}
-
-    def __setstate__(self, state: dict) -> None:
-        self.__dict__.update(state)
-        self.__post_init__()
-
     def costs(self, grams: np.ndarray) -> np.ndarray:
-        """Bits of each string's last byte after its first three, a column per language."""
-        place = self._index[1].find(grams)
-        out = self.cost[1][place]
-        new = np.flatnonzero(place < 0)
+        """Bits of each string's last byte after its first three."""
+        place, known = _find(self.grams[1], grams)
+        out = np.zeros(len(grams), np.float32)
+        out[known] = self.cost[1][place[known]]
+        new = grams[~known]
         if len(new):
-            g = grams[new]
-            context = self._contexts.find(g >> np.uint32(8))
-            escape = np.where((context >= 0)[:, None], self.escape3[context], 0)
-            short = g & np.uint32(0xFFFFFF)
-            place = self._index[0].find(short)
-            lower = self.cost[0][place]
-            unseen = np.flatnonzero(place < 0)
-            g2 = short[unseen]
-            lower[unseen] = self.escape2[g2 >> np.uint32(8)] + self.cost1[g2 & np.uint32(0xFFFF)]
-            out[new] = escape + lower
+            short = new & np.uint32(0xFFFFFF)
+            lower = self.escape2[short >> np.uint32(8)] + self.cost1[short & np.uint32(0xFFFF)]
+            place, there = _find(self.grams[0], short)
+            lower[there] = self.cost[0][place[there]]
+            place, there = _find(self.contexts, new >> np.uint32(8))
+            lower[there] += self.escape3[place[there]]
+            out[~known] = lower
         return out
 
+
+@dataclass
+class Model:
+    """A tree per language; its size is the sum of theirs."""
+
+    langs: list[str]
+    trees: list[Tree]
+
     def bits(self, texts: list[str]) -> np.ndarray:
         """The code length of each text in each language."""
         total = np.zeros((len(texts), len(self.langs)))
         for grams, owner in _blocks(texts):
             first = np.flatnonzero(np.r_[True, owner[1:] != owner[:-1]])
-            np.add.at(total, owner[first], np.add.reduceat(self.costs(grams), first, axis=0, dtype=np.float64))
+            distinct, at = np.unique(grams, return_inverse=True)
+            for k, tree in enumerate(self.trees):
+                np.add.at(total[:, k], owner[first], np.add.reduceat(tree.costs(distinct)[at], first, dtype=np.float64))
         return total
 
 
@@ -174,48 +147,44 @@ def _level(strings: np.ndarray, counts: np.ndarray, shorter: np.ndarray | float)
     ``shorter``: each string's code length in the next shorter context.
     """
     contexts, at = np.unique(strings >> np.uint32(8), return_inverse=True)
-    total = np.zeros((len(contexts), counts.shape[1]))
-    kinds = np.zeros_like(total)
-    np.add.at(total, at, counts)
-    np.add.at(kinds, at, counts > 0)
+    total = np.bincount(at, counts, len(contexts))
+    kinds = np.bincount(at, counts > 0, len(contexts))
     with np.errstate(divide="ignore", invalid="ignore"):
         escape = np.where(kinds > 0, -np.log2(kinds / (total + kinds)), 0.0)
         seen = -np.log2(counts / (total + kinds)[at])
     return contexts, escape, np.where(counts > 0, seen, escape[at] + shorter)
 
 
-def build(langs: list[str], grams: np.ndarray, lang_of: np.ndarray, n: np.ndarray) -> Model:
-    """The frozen model from (4-byte string, language, count) triples."""
-    g4, at = np.unique(grams.astype(np.uint32), return_inverse=True)
-    c4 = np.zeros((len(g4), len(langs)))
-    c4[at, lang_of] = n
-
-    def shorten(strings: np.ndarray, counts: np.ndarray, mask: int) -> tuple[np.ndarray, np.ndarray]:
-        out, where = np.unique(strings & np.uint32(mask), return_inverse=True)
-        sums = np.zeros((len(out), len(langs)))
-        np.add.at(sums, where, counts)
-        return out, sums
-
-    g3, c3 = shorten(g4, c4, 0xFFFFFF)
-    g2, c2 = shorten(g3, c3, 0xFFFF)
-    g1, c1 = shorten(g2, c2, 0xFF)
-    every = np.arange(256, dtype=np.uint32)
-    c0 = np.zeros((256, len(langs)))
-    c0[g1] = c1
-    _, _, cost0 = _level(every, c0, 8.0)
-    pairs = np.arange(1 << 16, dtype=np.uint32)
-    full2 = np.zeros((1 << 16, len(langs)))
+def _tree(grams: np.ndarray, n: np.ndarray) -> Tree:
+    def merged(strings: np.ndarray, counts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        out, where = np.unique(strings, return_inverse=True)
+        return out, np.bincount(where, counts, len(out))
+
+    g4, c4 = merged(grams.astype(np.uint32), n)
+    g3, c3 = merged(g4 & np.uint32(0xFFFFFF), c4)
+    g2, c2 = merged(g3 & np.uint32(0xFFFF), c3)
+    every, pairs = np.arange(256, dtype=np.uint32), np.arange(1 << 16, dtype=np.uint32)
+    full2 = np.zeros(1 << 16)
     full2[g2] = c2
+    _, _, cost0 = _level(every, np.bincount(g2 & np.uint32(0xFF), c2, 256), 8.0)
     _, _, cost1 = _level(pairs, full2, cost0[pairs & np.uint32(0xFF)])
     x2, e2, cost2 = _level(g3, c3, cost1[g3 & np.uint32(0xFFFF)])
-    escape2 = np.zeros((1 << 16, len(langs)))
+    escape2 = np.zeros(1 << 16)
     escape2[x2] = e2
     x3, e3, cost3 = _level(g4, c4, cost2[np.searchsorted(g3, g4 & np.uint32(0xFFFFFF))])
     f = np.float32
-    return Model(langs, [g3, g4], [cost2.astype(f), cost3.astype(f)], x3, e3.astype(f), escape2.astype(f), cost1.astype(f))
+    return Tree([g3, g4], [cost2.astype(f), cost3.astype(f)], x3, e3.astype(f), escape2.astype(f), cost1.astype(f))
+
+
+def build(langs: list[str], grams: np.ndarray, lang_of: np.ndarray, n: np.ndarray) -> Model:
+    """The frozen model from (4-byte string, language, count) triples."""
+    order = np.argsort(lang_of, kind="stable")
+    ends = np.searchsorted(lang_of[order], np.arange(len(langs) + 1))
+    own = [order[a:b] for a, b in zip(ends, ends[1:])]
+    return Model(langs, [_tree(grams[k], n[k]) for k in own])
 
 
-def learn(docs: DataFrame, folds: int = 5, sample_docs: int = SAMPLE_DOCS, max_grams: int = MAX_GRAMS) -> Model | None:
+def learn(docs: DataFrame, folds: int = 5, sample_docs: int = SAMPLE_DOCS) -> Model | None:
     """Fit on a bounded hash sample of the rows that are not held out; None without any."""
     prepare(docs.sparkSession)
     own = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("lang").cast("string").alias("lang"),
@@ -232,14 +201,13 @@ def learn(docs: DataFrame, folds: int = 5, sample_docs: int = SAMPLE_DOCS, max_g
         share = F.when(F.col("lang") == lang, F.lit(min(slots, slots * sample_docs // n))).otherwise(share)
     sample = own.where(F.pmod(F.xxhash64("doc_id"), F.lit(slots)) < share)
     counts = (sample.select("lang", "text").mapInArrow(_count, "lang string, gram long, n long")
-              .groupBy("lang", "gram").agg(F.sum("n").alias("n"))
-              .orderBy(F.desc("n"), "lang", "gram").limit(max_grams))
+              .groupBy("lang", "gram").agg(F.sum("n").alias("n")))
     table = counts.toArrow()
     langs = sorted(sizes)
     if table.num_rows == 0:
         return None
-    place = {lang: k for k, lang in enumerate(langs)}
-    lang_of = np.array([place[v] for v in table.column("lang").to_pylist()])
+    named = table.column("lang").combine_chunks().dictionary_encode()
+    lang_of = np.array([langs.index(v) for v in named.dictionary.to_pylist()])[named.indices.to_numpy()]
     return build(langs, table.column("gram").to_numpy(), lang_of, table.column("n").to_numpy())
 
 

@@ -3,6 +3,7 @@
 import hashlib
 import random
 import re
+import zlib
 
 import numpy as np
 import pytest
@@ -343,6 +344,23 @@ def test_language_on_documents(spark, small, odd, nothing):
     assert kept.columns == odd.columns and kept.count() == odd.count() - 4
 
 
+def test_many_languages_keep_their_counts(spark):
+    """80 languages with over a million counts, and a late one whose few strings stand once each."""
+    rows, probes = [], []
+    for k in range(80):
+        rng = random.Random(k)
+        alphabet = rng.sample("abcdefghijklmnopqrstuvwxyzABCDEFGHIJKLMNOPQRSTUVWXYZ", 20)
+        rows += [(100 * k + j, "".join(rng.choice(alphabet) for _ in range(8000)), f"l{k:02d}") for j in range(4)]
+        probes.append((k, "".join(rng.choice(alphabet) for _ in range(300)), f"l{k:02d}"))
+        if k == 0:
+            late = "".join(rng.choice(alphabet) for _ in range(200))
+    rows.append((next(d for d in range(9000, 9100) if zlib.crc32(str(d).encode()) % 5), late, "zz"))
+    probes.append((9100, late[50:150], "zz"))
+    model = language.learn(spark.createDataFrame(rows, "doc_id long, text string, lang string"))
+    found = model.bits([t for _, t, _ in probes]).argmin(axis=1)
+    assert [model.langs[k] for k in found] == [lang for _, _, lang in probes]
+
+
 # --------------------------------------------------------------------- urls
 
 def test_urls(spark):
