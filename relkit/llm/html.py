@@ -15,8 +15,11 @@ templates (menus, banners, notices, side bars, adverts, forms, comments and
 footers in many spellings) in which every block's label is known.
 
 Defined cases: NULL or empty html, or html without text, gives the empty text;
-unclosed and stray tags are closed as browsers do; the text of scripts, styles
-and other elements that show nothing is no block; repeated rows and NULL ids
+unclosed and stray tags are closed as browsers do (a block ends an open svg or
+math, ``/>`` closes one, a missing ``</head>`` hides nothing, a quote opens a
+value only after ``=``); the text of scripts, styles, drawings and other
+elements that show nothing is no block, that of formulas is part of its line;
+repeated rows and NULL ids
 are rows of their own; without any page to learn from nothing is extracted;
 extra columns are ignored.
 """
@@ -41,14 +44,26 @@ PATH_BITS, WORD_BINS, MEASURES = 256, 32, 8
 HIDDEN = 16
 
 # HTML element kinds.
-_SILENT = "script style template noscript head title textarea select svg math iframe object canvas audio video"
+#: Elements whose content is raw text that shows nothing, and other elements whose content does not show.
+_RAW = frozenset("script style title textarea noscript iframe".split())
+_HIDDEN = frozenset("template select svg object canvas audio video annotation annotation-xml".split())
+#: Elements of a foreign vocabulary, and those inside them that hold HTML again.
+_FOREIGN = frozenset("svg math".split())
+_POINTS = frozenset("foreignobject desc mi mo mn ms mtext annotation-xml".split())
 _VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 _BLOCK = frozenset("""address article aside blockquote body center dd details dialog dir div dl dt fieldset figcaption
     figure footer form h1 h2 h3 h4 h5 h6 header hgroup hr html legend li main menu nav ol p pre section summary table
     tbody td tfoot th thead tr ul option""".split())
+#: Start tags that end an open svg or math element, besides those of blocks.
+_BREAKOUT = _BLOCK | frozenset("""b big br code em embed head i img listing meta nobr ruby s small span strong strike sub
+    sup tt u var""".split())
+#: Start tags that end an open select element.
+_NO_SELECT = frozenset("input select textarea".split())
 #: Start tags that end an open element of the same group.
 _ENDS = {"li": ("li",), "dt": ("dt", "dd"), "dd": ("dt", "dd"), "tr": ("tr", "td", "th"), "td": ("td", "th"),
          "th": ("td", "th"), "option": ("option",)}
+#: Elements that a start tag inside them does not end.
+_CLOSED = frozenset("template select object".split())
 _SCOPES = frozenset("ul ol dl table body html article main section div nav aside header footer form".split())
 # Words in tags, classes and ids that mark main text and its surroundings, for the weak labels.
 _MAIN = frozenset("article main".split())
@@ -56,10 +71,12 @@ _AROUND = frozenset("""nav header footer aside form menu ad ads advert advertise
     consent notice sidebar comment comments respond share social related newsletter subscribe breadcrumb login search
     button dialog""".split())
 
+# A quote opens a value only directly after ``=``; the loop over attributes never goes back.
 _TOKEN = re.compile(
-    r"<!--.*?(?:-->|\Z)|<(?P<mute>" + "|".join(_SILENT.split()) + r")(?=[\s/>])[^>]*>.*?(?:</(?P=mute)\s*>|\Z)"
-    r"|<(?P<end>/?)(?P<tag>[a-zA-Z][^\s/>]*)(?P<attrs>(?:[^>\"']|\"[^\"]*\"|'[^']*')*)>|<[!?/][^>]*>"
-    r"|(?P<text>[^<]+|<)", re.S | re.I)
+    r"<!--(?:-?>|.*?(?:--!?>|\Z))|<(?P<end>/?)(?P<tag>[a-zA-Z][^\s/>]*+)"
+    r"(?P<attrs>(?:\s+|/(?!>)|[^\s/>][^\s/>=]*(?:\s*=\s*(?:\"[^\"]*\"|'[^']*'|[^\s>]*))?)*+)(?P<self>/?)(?:>|(?P<cut>\Z))"
+    r"|<[!?/][^>]*>|(?P<text>[^<]+|<)", re.S)
+_RAW_END = {tag: re.compile(rf"</{tag}(?=[\s/>])[^>]*>", re.I) for tag in sorted(_RAW)}
 _NAMES = re.compile(r"\b(?:class|id|role)\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s>]+))", re.I)
 _WORDS = re.compile(r"[a-z]+")
 
@@ -79,8 +96,8 @@ class Block:
 def blocks_of(page: str) -> list[Block]:
     """The leaf blocks of a page in order."""
     out: list[Block] = []
-    # Open elements: (tag, path bits, in a link, words).
-    stack: list[tuple[str, int, bool, frozenset]] = [("", 0, False, frozenset())]
+    # Open elements: (tag, path bits, in a link, words, hidden, foreign content).
+    stack: list[tuple[str, int, bool, frozenset, bool, bool]] = [("", 0, False, frozenset(), False, False)]
     pieces: list[str] = []
     linked = 0
     at = stack[0]
@@ -103,9 +120,14 @@ def blocks_of(page: str) -> list[Block]:
             if stack[k][0] in scopes:
                 return
 
-    for m in _TOKEN.finditer(page):
-        text = m["text"]
+    place = 0
+    while m := _TOKEN.match(page, place):
+        place = m.end()
+        # A tag that the end of the page cuts off is text.
+        text = m["text"] if m["cut"] is None else m[0]
         if text is not None:
+            if stack[-1][4]:
+                continue
             if not pieces:
                 if text.isspace():
                     continue
@@ -118,22 +140,37 @@ def blocks_of(page: str) -> list[Block]:
         if tag is None:
             continue
         tag = tag.lower()
-        if tag in _BLOCK:
+        if tag in _BLOCK and not stack[-1][4]:
             flush()
         if m["end"]:
             close((tag,), frozenset() if tag in _SCOPES else _SCOPES - {tag})
+            if tag in _BLOCK and not stack[-1][4]:
+                flush()
+            continue
+        if tag in _BREAKOUT and stack[-1][5]:
+            while stack[-1][5]:
+                stack.pop()
+            if tag in _BLOCK and not stack[-1][4]:
+                flush()
+        if tag in _NO_SELECT:
+            close(("select",), _SCOPES)
+        if tag in _RAW and not stack[-1][5]:
+            ended = _RAW_END[tag].search(page, place)
+            place = ended.end() if ended else len(page)
             continue
         if tag == "br":
-            if pieces:
+            if pieces and not stack[-1][4]:
                 pieces.append(" ")
             continue
-        if tag in _VOID:
+        # The head shows nothing itself, and whatever shows has left it.
+        if tag in _VOID or tag == "head":
             continue
         if tag in _BLOCK:
-            close(("p",), _SCOPES)
+            close(("p",), _SCOPES | _CLOSED)
         if tag in _ENDS:
             close(_ENDS[tag], _SCOPES)
-        if m["attrs"].rstrip().endswith("/") and tag not in _BLOCK:
+        foreign = tag in _FOREIGN or stack[-1][5]
+        if m["self"] and (foreign or tag not in _BLOCK) or not foreign and tag not in _BLOCK and m["attrs"].rstrip().endswith("/"):
             continue
         names = {tag}
         for quoted in _NAMES.findall(m["attrs"]):
@@ -142,7 +179,8 @@ def blocks_of(page: str) -> list[Block]:
         bits = above[1] | _bit(above[0] + ">" + tag)
         for name in names:
             bits |= _bit(name)
-        stack.append((tag, bits, above[2] or tag == "a", above[3] | names))
+        hidden = above[4] or tag in _HIDDEN or tag in _RAW
+        stack.append((tag, bits, above[2] or tag == "a", above[3] | names, hidden, foreign and tag not in _POINTS))
     flush()
     return out
 

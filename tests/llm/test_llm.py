@@ -393,6 +393,22 @@ def test_blocks_of_broken_markup():
     assert html.blocks_of("") == [] and html.blocks_of("<<<") and html.blocks_of("<script>x") == []
 
 
+@pytest.mark.parametrize("page, want", [
+    ("<head><title>T</title><body><article><p>Main text</p><p>More</article>", ["Main text", "More"]),
+    ("<p>one <svg class=i /> two</p><p>three", ["one two", "three"]),
+    ("<p>one <svg><style/><path d='m'/><text>label</text></svg>two</p><p>three", ["one two", "three"]),
+    ("<p>one <svg><g><p>two</p>three", ["one", "two", "three"]),
+    ("<p>where <math><mi>x</mi><mo>=</mo><mn>2</mn><annotation>x=2</annotation></math> holds</p>", ["where x=2 holds"]),
+    ("<p data-x=it's>first</p><p>second isn't hidden</p>", ["first", "second isn't hidden"]),
+    ("<p title=\"a > b\" class='c'>first</p><p a='>second</p>", ["first", "second"]),
+    ("<!--><p>a</p><!-- x --!><p>b</p><script>x</script foo><p>c</p>", ["a", "b", "c"]),
+    ("<div><video src=x><p>no video</div><p>text <select><option>1<option>2</select> on</p>", ["text on"]),
+    ("<p>a <object><object>x</object>y</object>b <template><p>z</p></template>c <br", ["a b c <br"]),
+])
+def test_no_text_lost_to_broken_markup(page, want):
+    assert [b.text for b in html.blocks_of(page)] == want
+
+
 def test_main_text_of_pages(spark):
     pages = spark.read.parquet(f"{SF_SMALL}/pages.parquet")
     model = html.learn(pages)
