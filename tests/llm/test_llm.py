@@ -497,6 +497,22 @@ def test_licenses_and_inheritance(spark):
     assert licenses.scan_licenses(df.limit(0)).count() == 0
 
 
+def test_license_headers_and_files(spark):
+    full = licenses.full_texts()
+    apache, mit = full["Apache-2.0"], full["MIT"]
+    body = " ".join(f"word{k}" for k in range(400))
+    wrapped = "\n".join("# " + " ".join(w) for w in zip(*[iter(("Copyright 2020 Foo Authors. " + mit).split())] * 7))
+    rows = [("Apache-2.0", "// Copyright 2020 Foo Authors. Licensed under the Apache License, Version 2.0."), ("MIT", "// SPDX-License-Identifier: MIT\n" + body),
+            ("BSD-2-Clause", "SPDX-License-Identifier: BSD-2-Clause"), ("GPL-3.0", "/* SPDX-License-Identifier: GPL-3.0-or-later */"), ("MIT", wrapped + "\n" + body),
+            ("Apache-2.0", f"# {body}\n# Licensed under\n#   the Apache\n# License,\n# Version 2.0 {body}"), (None, "Licensed under the Foo License, Version 2.0."),
+            (None, "SPDX-License-Identifier: ISC"), (None, body), (None, "This work is licensed under the GNU General Public License, version 1.")]
+    rows += list(full.items()) + [(k, body + "\n" + t.replace("\n", "\n * ") + body) for k, t in full.items()]
+    df = spark.createDataFrame([(k, f"{k}/x", t) for k, (_, t) in enumerate(rows)], "doc_id long, path string, text string")
+    got = {r["doc_id"]: r["own_license"] for r in licenses.scan_licenses(df).collect()}
+    assert got == {k: name for k, (name, _) in enumerate(rows)}
+    assert len(apache) > 10_000
+
+
 # ----------------------------------------------------------------- pipeline
 
 def test_pipeline_stages(spark):
