@@ -1,9 +1,10 @@
 """Secret scan with a randomness test battery (operator 1, DataFrame functions only).
 
 Base spans come from three patterns (assignments, access key ids, hex runs).
-The battery adds spans of kind ``random``: long unbroken tokens whose encoding
-can be inferred (hex, base32 or base64 with the character classes that words
-lack) and that look drawn evenly from that encoding's alphabet:
+The battery adds spans of kind ``random``: long unbroken tokens with digits and
+letters that look drawn evenly from the alphabet of their inferred encoding
+(the smallest that holds them: hex, base32 or base36 of either case with
+separators left out, else base64):
 
 * chi-squared uniformity: the statistic's lower tail under a text-like source
   of the same length (a noncentral chi-squared whose noncentrality grows with
@@ -44,6 +45,7 @@ TOKEN = r"(?<![A-Za-z0-9+/_-])[A-Za-z0-9+/_-]{20,}"
 ALPHABETS = {
     "hex": ("0123456789abcdef", 0.125),
     "base32": ("ABCDEFGHIJKLMNOPQRSTUVWXYZ234567", 0.07),
+    "base36": ("0123456789abcdefghijklmnopqrstuvwxyz", 0.06),
     "base64": ("ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789+/", 0.055),
 }
 REJECT_Z = 3.29
@@ -85,12 +87,17 @@ def base_spans(text: Column) -> Column:
                                  _matches(text, HEX, 2)))
 
 
+def _bare(token: Column) -> Column:
+    """The token without separators."""
+    return F.translate(token, "-_+/", "")
+
+
 def encoding_of(token: Column) -> Column:
-    """The inferred encoding of a token; NULL where its characters do not tell it from words or numbers."""
+    """The inferred encoding of a token; NULL without a digit or without a letter."""
     digit, upper, lower = token.rlike("[0-9]"), token.rlike("[A-Z]"), token.rlike("[a-z]")
-    return (F.when(token.rlike("^[0-9A-Fa-f]+$") & digit & (upper | lower), "hex")
-            .when(token.rlike("^[A-Z2-7]+$") & digit & upper, "base32")
-            .when(digit & upper & lower, "base64"))
+    return F.when(digit & (upper | lower), F.when(_bare(token).rlike("^[0-9A-Fa-f]+$"), "hex")
+                  .when(_bare(token).rlike("^([A-Z2-7]+|[a-z2-7]+)$"), "base32")
+                  .when(upper & lower, "base64").otherwise("base36"))
 
 
 def _normal_cdf(z: Column) -> Column:
@@ -119,7 +126,8 @@ def battery(token: Column) -> Column:
     def per(values: dict) -> Column:
         return F.coalesce(*(F.when(encoding == k, F.lit(v)) for k, v in values.items()))
 
-    plain = F.when(encoding == "hex", F.lower(token)).otherwise(F.translate(token, "-_", "+/"))
+    plain = (F.when(encoding == "base64", F.translate(token, "-_", "+/")).when(encoding == "base32", F.upper(_bare(token)))
+             .otherwise(F.lower(_bare(token))))
     setup = F.struct(plain.alias("t"), per({k: v[0] for k, v in ALPHABETS.items()}).alias("a"),
                      per({k: float(len(v[0])) for k, v in ALPHABETS.items()}).alias("k"),
                      per({k: v[1] for k, v in ALPHABETS.items()}).alias("c"))
