@@ -6,7 +6,8 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..sources.tables import Tables
-from . import decontaminate, fingerprints, html, language, licenses, near_dedup, packing, secrets, token_counts, urls
+from . import (byte_pairs, centroids, decontaminate, fingerprints, html, language, lexical, licenses, near_dedup, packing,
+               secrets, token_counts, urls)
 
 RULES = (("block", "net/"), ("allow", "example.net/en/"), ("block", "example.com/de/"), ("allow", "org/fr/"))
 #: Host names that put a page's URL on the query's list.
@@ -71,8 +72,24 @@ def op10_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
     return fingerprints.next_edits(Tables(spark, sf_dir).documents)
 
 
+def op11_byte_pairs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    import public_tokenizers
+
+    ranks = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
+    return byte_pairs.digests(Tables(spark, sf_dir).documents, ranks, public_tokenizers.PATTERN)
+
+
+def op12_centroids(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return centroids.digests(*centroids.cluster(Tables(spark, sf_dir).embeddings))
+
+
+def op13_ranked_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    t = Tables(spark, sf_dir)
+    return lexical.ranked_search(t.documents, t.benchmark)
+
+
 QUERIES = {f.__name__: f for f in (
     op1_secret_scan, op2_token_counts, op3_license_scan, op4_near_duplicates, op5_main_text, op6_decontaminate,
-    op7_language, op8_url_filter, op9_pack, op10_fingerprints)}
+    op7_language, op8_url_filter, op9_pack, op10_fingerprints, op11_byte_pairs, op12_centroids, op13_ranked_search)}
 
-ORACLES: dict[str, str] = {}
+ORACLES: dict[str, str] = {"op12_centroids": centroids.oracle(), "op13_ranked_search": lexical.ORACLE}
