@@ -84,16 +84,29 @@ class RankedBytes:
         import tiktoken
 
         with open(path, "rb") as f:
-            ranks = {base64.b64decode(a): int(b) for a, b in map(bytes.split, f)}
-        self._library = tiktoken.Encoding("ranks", pat_str=pattern, mergeable_ranks=ranks, special_tokens={})
-        # One match, whatever the text: all of it is one pre-token.
-        self._one = tiktoken.Encoding("one", pat_str=r"[\s\S]+", mergeable_ranks=ranks, special_tokens={})
-        for name in (r"\p{L}", r"\p{N}"):
-            pattern = pattern.replace(name, _library_class(name))
-        self._matches = regex.compile("(?V1)" + pattern)
+            self._ranks = {base64.b64decode(a): int(b) for a, b in map(bytes.split, f)}
+        self._pattern = pattern
+        self._library = tiktoken.Encoding("ranks", pat_str=pattern, mergeable_ranks=self._ranks, special_tokens={})
         self._long_run = regex.compile(r"\s{%d}" % LONG_RUN)
         self._space = regex.compile(r"\s")
 
+    @functools.cached_property
+    def _one(self):
+        """One match, whatever the text: all of it is one pre-token."""
+        import tiktoken
+
+        return tiktoken.Encoding("one", pat_str=r"[\s\S]+", mergeable_ranks=self._ranks, special_tokens={})
+
+    @functools.cached_property
+    def _matches(self):
+        """The pattern with the library's classes; only long texts need it."""
+        import regex
+
+        pattern = self._pattern
+        for name in (r"\p{L}", r"\p{N}"):
+            pattern = pattern.replace(name, _library_class(name))
+        return regex.compile("(?V1)" + pattern)
+
     def boundaries(self, text: str, final: bool) -> list[int]:
         """The ends of the matches in ``text``; unless ``final``, only those that more text would not move."""
         ends = [0, *(m.end() for m in self._matches.finditer(text))]
