@@ -21,7 +21,8 @@ def pending_batches(source: DataFrame, target: DataFrame, keys: Sequence[str],
                     order: Sequence[SortKey | str], batch_size: int = 100,
                     name: str = "batch_id") -> DataFrame:
     """Source rows not yet in ``target``, each with a 1-based batch number."""
-    pending = source.join(target.select(*keys), list(keys), "left_anti")
+    # A join USING moves the keys to the front.
+    pending = source.join(target.select(*keys), list(keys), "left_anti").select(*source.columns)
     pos = global_position(pending, order, "_b_pos")
     return (pos.withColumn(name, ((F.col("_b_pos") - 1) / F.lit(batch_size)).cast("long") + 1)
                .drop("_b_pos"))

@@ -1,6 +1,6 @@
 """Run registered queries on Spark and their oracle SQL on DuckDB, compare.
 
-Comparison: column names (sorted), row count, and the multiset of rows
+Comparison: column names and their order, row count, and the multiset of rows
 (order-insensitive); floats are compared exactly, so a mismatch in the last
 bit is reported.  Usage: ``python tests/oracle_harness.py [sf_dir] [name ...]``.
 """
@@ -57,14 +57,12 @@ def _norm(v):
 
 
 def compare(spark_rows, spark_cols, duck_rows, duck_cols):
-    if sorted(spark_cols) != sorted(duck_cols):
+    if list(spark_cols) != list(duck_cols):
         return f"columns differ: spark={spark_cols} duck={duck_cols}"
     if len(spark_rows) != len(duck_rows):
         return f"row count spark={len(spark_rows)} duck={len(duck_rows)}"
-    order_s = sorted(range(len(spark_cols)), key=lambda i: spark_cols[i])
-    order_d = sorted(range(len(duck_cols)), key=lambda i: duck_cols[i])
-    a = sorted(tuple(_norm(r[i]) for i in order_s) for r in spark_rows)
-    b = sorted(tuple(_norm(r[i]) for i in order_d) for r in duck_rows)
+    a = sorted(tuple(map(_norm, r)) for r in spark_rows)
+    b = sorted(tuple(map(_norm, r)) for r in duck_rows)
     if a != b:
         for x, y in zip(a, b):
             if x != y:
