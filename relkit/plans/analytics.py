@@ -175,6 +175,19 @@ def recursive_hierarchy(spark, d):
     return walk_down(emp, "c_custkey", "manager_key", keep=("c_name",))
 
 
+_CHAIN_SQL = "CASE WHEN o_orderkey % 500 = 0 THEN NULL ELSE o_orderkey - 1 END"
+
+
+@query("hierarchy_chains", f"""
+SELECT o_orderkey, {_CHAIN_SQL} AS previous_key, CAST(o_orderkey % 500 + 1 AS INTEGER) AS level FROM orders
+WHERE o_orderkey - o_orderkey % 500 IN (SELECT o_orderkey FROM orders)""")
+def hierarchy_chains(spark, d):
+    """Chains of 500 orders, each pointing to the one before: deep rather than wide."""
+    o = Tables(spark, d).orders.select("o_orderkey", F.when(F.col("o_orderkey") % 500 != 0, F.col("o_orderkey") - 1)
+                                       .alias("previous_key"))
+    return walk_down(o, "o_orderkey", "previous_key", cycles="error")
+
+
 # ---------------------------------------------------------- scalar fns
 
 

@@ -323,3 +323,48 @@ def guarded_commit(spark, d):
     committed = publish.read_current(spark, base)
     publish.publish(committed.limit(0), base, guard=committed.where(F.col("p_retailprice") >= 0))
     return publish.read_current(spark, base).select("p_partkey", "p_type", "p_retailprice")
+
+
+@query("publish_conflict", f"""
+SELECT p_partkey,
+       CASE p_type WHEN 'PROMO' THEN {_priced_sql('1.10')} WHEN 'SMALL' THEN {_priced_sql('0.90')}
+                   ELSE p_retailprice END AS p_retailprice,
+       p_type, 'committed as 2, rebased as 3, conflict' AS outcome
+FROM part WHERE p_size < 50 OR p_type <> 'SMALL'""")
+def publish_conflict(spark, d):
+    """Three writers that read one version: a repricing, a disjoint repricing with a
+    delete, and one that wants the first one's rows; the last is refused."""
+    base = scratch_path(spark, "conflict_part")
+    publish.publish(Tables(spark, d).part.select("p_retailprice", "p_partkey", "p_type", "p_size"), base)
+    writers = [publish.begin(spark, base) for _ in range(3)]
+    promo, small, late = (w.read() for w in writers)
+    price = lambda factor: {"p_retailprice": _priced(factor)}
+    first = dml.update(promo, price("1.10"), F.col("p_type") == "PROMO")
+    cheaper = dml.update(small, price("0.90"), (F.col("p_type") == "SMALL") & (F.col("p_size") < 50))
+    gone = dml.delete(cheaper.snapshot, (F.col("p_type") == "SMALL") & (F.col("p_size") >= 50))
+    second = dml.DmlResult(gone.snapshot, delta=cheaper.delta.unionByName(gone.delta))
+    outcome = [f"committed as {writers[0].commit(first, ['p_partkey'])}",
+               f"rebased as {writers[1].commit(second, ['p_partkey'])}"]
+    try:
+        writers[2].commit(dml.update(late, price("2.00"), F.col("p_type") == "PROMO"), ["p_partkey"])
+        outcome.append("lost update")
+    except publish.PublishConflict:
+        outcome.append("conflict")
+    return publish.read_current(spark, base).select("p_partkey", "p_retailprice", "p_type",
+                                                    F.lit(", ".join(outcome)).alias("outcome"))
+
+
+@query("dml_upsert_key_last", f"""
+WITH src AS ({_UPSERT_SRC_SQL})
+SELECT p_name, p_retailprice, p_partkey FROM part WHERE p_partkey NOT IN (SELECT p_partkey FROM src)
+UNION ALL SELECT p_name, p_retailprice, p_partkey FROM src""")
+def dml_upsert_key_last(spark, d):
+    """The upsert on a table whose key is its last column: the snapshot keeps that order."""
+    p = Tables(spark, d).part
+    base = _next_key(p, "p_partkey")
+    target = p.select("p_name", "p_retailprice", "p_partkey")
+    upd = p.where(F.col("p_size") > 45).select(F.upper("p_name").alias("p_name"), _priced("0.90").alias("p_retailprice"),
+                                               "p_partkey")
+    new = p.where(F.col("p_size") == 1).select(F.concat("p_name", F.lit(" v2")).alias("p_name"), "p_retailprice",
+                                               (F.col("p_partkey") + base).alias("p_partkey"))
+    return dml.upsert(target, upd.unionByName(new), ["p_partkey"]).snapshot

@@ -48,3 +48,56 @@ def test_star_shaped_tree_hot_parent(spark):
     got = walk_down(edges, "k", "p")
     levels = {r["level"]: r["count"] for r in got.groupBy("level").count().collect()}
     assert levels == {1: 1, 2: 2499, 3: 500}
+
+
+def test_deep_chain_takes_few_rounds(spark, monkeypatch):
+    from relkit.operators import hierarchy
+    rounds = []
+    written = hierarchy._written
+    monkeypatch.setattr(hierarchy, "_written", lambda df, name: rounds.append(name) or written(df, name))
+    depth = 10_000
+    # Ids in no order, so that nothing but the pointers leads along the chain.
+    name = lambda k: (k * 7919) % depth
+    chain = spark.createDataFrame([(name(k), None if k == 0 else name(k - 1), k + 1) for k in range(depth)],
+                                  "id int, parent int, want int")
+    got = walk_down(chain, "id", "parent", keep=("want",))
+    assert got.count() == depth and got.where("level <> want").count() == 0
+    assert len(rounds) <= 16
+    with pytest.raises(RuntimeError):
+        walk_down(chain, "id", "parent", max_depth=depth - 1)
+
+
+def test_levels_equal_the_recursion_on_random_forests(spark):
+    import random
+    from relkit.operators.hierarchy import walk_down_sql
+    rnd = random.Random(4)
+    for size in (1, 2, 50, 300):
+        # Parents before, after, missing, self and NULL: trees, orphans and cycles.
+        edges = [(k, rnd.choice([None, rnd.randrange(size), rnd.randrange(max(1, k)), size + 5, max(0, k - 1)])) for k in range(size)]
+        frame = spark.createDataFrame(edges, "id int, parent int")
+        frame.createOrReplaceTempView("t_forest")
+        spark.conf.set("spark.sql.cteRecursionLevelLimit", 400)
+        assert rows(walk_down(frame, "id", "parent")) == rows(walk_down_sql(spark, "t_forest", "id", "parent"))
+
+
+def test_cycles_below_no_root_can_be_an_error(spark):
+    ring = [(k, (k + 1) % 7) for k in range(7)] + [(7, 3), (8, 7)]
+    tail = [(100 + k, 99 + k) for k in range(40)]  # below a missing parent: no cycle
+    tree = [(200, None), (201, 200)]
+    frame = lambda edges: spark.createDataFrame(edges, "id int, parent int")
+    assert rows(walk_down(frame(ring + tail + tree), "id", "parent"), "id", "level") == [(200, 1), (201, 2)]
+    assert walk_down(frame(tail + tree), "id", "parent", cycles="error").count() == 2
+    with pytest.raises(RuntimeError):
+        walk_down(frame(ring + tail + tree), "id", "parent", cycles="error")
+    with pytest.raises(ValueError):
+        walk_down(frame(tree), "id", "parent", cycles="ignore")
+
+
+def test_repeated_and_missing_ids(spark):
+    twice = spark.createDataFrame([(1, None), (2, 1), (3, 1), (4, 2), (4, 3), (5, 4)], "id int, parent int")
+    assert rows(walk_down(twice, "id", "parent"), "id", "level") == [(1, 1), (2, 2), (3, 2), (4, 3), (4, 3), (5, 4), (5, 4)]
+    unnamed = spark.createDataFrame([(1, None, "a"), (None, None, "b"), (None, 1, "c"), (None, 9, "d"), (2, 1, "e")],
+                                    "id int, parent int, name string")
+    got = walk_down(unnamed, "id", "parent", keep=("name",))
+    assert rows(got, "name", "level") == [("a", 1), ("b", 1), ("c", 2), ("e", 2)]
+    assert walk_down(unnamed.limit(0), "id", "parent").count() == 0
