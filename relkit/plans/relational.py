@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 
 from ..functions import scalar as fx
 from ..operators import joins, setops, subqueries
+from ..operators.range_join import range_join
 from ..operators.windows import asc, desc, distinct_on
 from ..sources.tables import Tables
 from . import sqltext as q
@@ -396,6 +397,33 @@ def join_band_range(spark, d):
     return j.groupBy("band").agg(F.count(F.lit(1)).alias("n_lines"), F.sum("l_quantity").alias("total_qty"))
 
 
+@query("join_range_orders", """
+SELECT o.o_orderkey, count(*) AS n_lines, sum(l.l_quantity) AS total_qty
+FROM lineitem l JOIN orders o ON l.l_shipdate >= o.o_orderdate AND l.l_shipdate < o.o_orderdate + INTERVAL 12 HOUR
+WHERE o.o_orderpriority = '1-URGENT' GROUP BY o.o_orderkey""")
+def join_range_orders(spark, d):
+    """Range join of two tables that both grow: the lines shipped in the half day from each urgent order on."""
+    t = Tables(spark, d)
+    li = t.lineitem.select("l_shipdate", "l_quantity")
+    o = t.orders.where(F.col("o_orderpriority") == "1-URGENT").select(
+        "o_orderkey", "o_orderdate", (F.col("o_orderdate") + F.expr("INTERVAL 12 HOURS")).alias("o_until"))
+    j = range_join(li, "l_shipdate", o, "o_orderdate", "o_until")
+    return j.groupBy("o_orderkey").agg(F.count(F.lit(1)).alias("n_lines"), F.sum("l_quantity").alias("total_qty"))
+
+
+@query("join_range_left", """
+SELECT c_custkey, c_acctbal, p_partkey
+FROM customer LEFT JOIN (SELECT p_partkey, p_retailprice AS lo, p_retailprice + p_size / 50.0 AS hi FROM part) p
+  ON c_acctbal >= p.lo AND c_acctbal < p.hi""")
+def join_range_left(spark, d):
+    """Bands from the data: parts whose price band holds a customer's balance; customers in no band stay."""
+    t = Tables(spark, d)
+    c = t.customer.select("c_custkey", "c_acctbal")
+    p = t.part.select("p_partkey", F.col("p_retailprice").alias("lo"),
+                      (F.col("p_retailprice") + F.col("p_size") / F.lit(50.0)).alias("hi"))
+    return range_join(c, "c_acctbal", p, "lo", "hi", how="left").select("c_custkey", "c_acctbal", "p_partkey")
+
+
 def line_flags(t):
     """Per order, four 0/1 flags from one aggregate of lineitem."""
     li = t.lineitem
