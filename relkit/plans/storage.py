@@ -6,7 +6,8 @@ from pyspark.sql import functions as F
 
 from ..functions import scalar as fx
 from ..operators import profile as prof
-from ..operators import publish, quality
+from ..operators import dml, publish, quality
+from ..operators.refresh import AggregateView, MaterializedView
 from ..session import scratch_path
 from ..sources import files
 from ..sources.batches import pending_batches
@@ -73,6 +74,40 @@ def matview_band_counts(spark, d):
     return snap.groupBy("map_band").agg(F.count(F.lit(1)).alias("n"))
 
 
+@query("matview_refresh", """
+WITH changed AS (
+  SELECT o_custkey % 100 AS customer_group, o_orderstatus,
+         CASE WHEN o_orderpriority = '5-LOW' THEN CAST(o_totalprice AS DECIMAL(18,2)) + 10
+              ELSE CAST(o_totalprice AS DECIMAL(18,2)) END AS price
+  FROM orders WHERE o_orderkey % 7 <> 0
+  UNION ALL
+  SELECT o_custkey % 100, 'N', CAST(o_totalprice AS DECIMAL(18,2)) FROM orders WHERE o_orderkey % 11 = 0)
+SELECT customer_group, o_orderstatus, count(*) AS n_rows, CAST(sum(price) AS DOUBLE) AS sum_price,
+       CAST(min(price) AS DOUBLE) AS min_price, CAST(max(price) AS DOUBLE) AS max_price
+FROM changed GROUP BY customer_group, o_orderstatus""")
+def matview_refresh(spark, d):
+    """A stored aggregate after an update, a delete and an insert of its table, refreshed from their changes."""
+    o = Tables(spark, d).orders.select("o_orderkey", (F.col("o_custkey") % 100).alias("customer_group"), "o_orderstatus",
+                                       "o_orderpriority", fx.money("o_totalprice").alias("price"))
+    source, base = scratch_path(spark, "refresh_orders"), scratch_path(spark, "refresh_view")
+    publish.publish(o, source)
+    view = MaterializedView(AggregateView(("customer_group", "o_orderstatus"), ("price",), ("price",)), source, base)
+    view.create(spark)
+
+    def change(statement):
+        tx = publish.begin(spark, source)
+        tx.commit(statement(tx.read()), ["o_orderkey"])
+
+    again = o.where(F.col("o_orderkey") % 11 == 0).withColumns(
+        {"o_orderkey": -F.col("o_orderkey") - 1, "o_orderstatus": F.lit("N")})
+    change(lambda t: dml.update(t, {"price": F.col("price") + 10}, F.col("o_orderpriority") == "5-LOW"))
+    change(lambda t: dml.delete(t, F.col("o_orderkey") % 7 == 0))
+    change(lambda t: dml.insert(t, again))
+    view.refresh(spark)
+    return view.read(spark).select("customer_group", "o_orderstatus", "n_rows", *[
+        F.col(f"{agg}_price").cast("double").alias(f"{agg}_price") for agg in ("sum", "min", "max")])
+
+
 @query("view_part_supp_nation", """
 SELECT l_orderkey, l_linenumber, p_name, s_name, n_name
 FROM lineitem JOIN part ON p_partkey = l_partkey JOIN supplier ON s_suppkey = l_suppkey
