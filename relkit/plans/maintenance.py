@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 
 from ..functions import scalar as fx
 from ..operators import dml, keys as keyops, publish
+from ..operators.cascade import CASCADE, SET_NULL, ForeignKey, Schema
 from ..operators.dml import S, When
 from ..session import scratch_path
 from ..sources.tables import Tables
@@ -189,6 +190,80 @@ def dml_cascade_delete(spark, d):
     return dml.cascade_delete(li, "l_partkey", level1.returning, "p_partkey").snapshot
 
 
+_CASCADE_GONE_SQL = """
+WITH RECURSIVE made AS (SELECT p_partkey, p_type, CASE WHEN p_partkey % 10 = 0 THEN NULL ELSE p_partkey - 1 END AS made_from
+                        FROM part),
+gone AS (SELECT p_partkey FROM made WHERE p_type = 'PROMO'
+         UNION SELECT m.p_partkey FROM made m JOIN gone g ON m.made_from = g.p_partkey)"""
+
+
+def _shop(spark, d):
+    """Categories, products (some made from the one before), order lines and suppliers' featured products."""
+    t = Tables(spark, d)
+    made_from = F.when(F.col("p_partkey") % 10 != 0, F.col("p_partkey") - 1)
+    tables = {"category": t.part.select("p_type").distinct(),
+              "product": t.part.select("p_name", "p_partkey", "p_type", made_from.alias("made_from")),
+              "line": t.lineitem.select("l_orderkey", "l_linenumber", "l_partkey"),
+              "supplier": t.supplier.select("s_name", "s_suppkey", F.col("s_suppkey").alias("featured"))}
+    # Line numbers repeat within an order in these tables; with the product they name the lines that go together.
+    keys = {"category": ("p_type",), "product": ("p_partkey",), "line": ("l_orderkey", "l_linenumber", "l_partkey"),
+            "supplier": ("s_suppkey",)}
+    part = ("p_partkey",)
+    return Schema(tables, keys, [
+        ForeignKey("product", ("p_type",), "category", ("p_type",), CASCADE),
+        ForeignKey("product", ("made_from",), "product", part, CASCADE, CASCADE),
+        ForeignKey("line", ("l_partkey",), "product", part, CASCADE, CASCADE),
+        ForeignKey("supplier", ("featured",), "product", part, SET_NULL, SET_NULL)])
+
+
+@query("dml_cascade_graph", f"""{_CASCADE_GONE_SQL}
+SELECT 'category' AS table_name, p_type AS key, CAST(NULL AS BIGINT) AS pointer FROM (SELECT DISTINCT p_type FROM part) c
+WHERE p_type <> 'PROMO'
+UNION ALL SELECT 'product', p_name, p_partkey FROM part WHERE p_partkey NOT IN (SELECT p_partkey FROM gone)
+UNION ALL SELECT 'line', l_orderkey || '-' || l_linenumber, l_partkey FROM lineitem
+WHERE l_partkey NOT IN (SELECT p_partkey FROM gone)
+UNION ALL SELECT 'supplier', s_name, CASE WHEN s_suppkey IN (SELECT p_partkey FROM gone) THEN NULL ELSE s_suppkey END
+FROM supplier""")
+def dml_cascade_graph(spark, d):
+    """DELETE of a category: its products, what is made from them, their lines; featured products become NULL."""
+    out = _shop(spark, d).delete("category", F.col("p_type") == "PROMO")
+    kept = {name: res.snapshot for name, res in out.items()}
+    shown = [
+        kept["category"].select(F.lit("category").alias("table_name"), F.col("p_type").alias("key"),
+                                F.lit(None).cast("long").alias("pointer")),
+        kept["product"].select(F.lit("product"), "p_name", "p_partkey"),
+        kept["line"].select(F.lit("line"), F.concat_ws("-", "l_orderkey", "l_linenumber"), "l_partkey"),
+        kept["supplier"].select(F.lit("supplier"), "s_name", "featured")]
+    result = shown[0]
+    for df in shown[1:]:
+        result = result.union(df)
+    return result
+
+
+_NEW_KEY_SQL = f"CASE WHEN {{0}} % 20 = 3 AND {{0}} IN (SELECT p_partkey FROM part) THEN {{0}} + {_NEXT_PART} ELSE {{0}} END"
+
+
+@query("dml_cascade_keys", f"""
+SELECT 'product' AS table_name, {_NEW_KEY_SQL.format('p_partkey')} AS key,
+       {_NEW_KEY_SQL.format('made_from')} AS pointer
+FROM (SELECT p_partkey, CASE WHEN p_partkey % 10 = 0 THEN NULL ELSE p_partkey - 1 END AS made_from FROM part) p
+UNION ALL SELECT 'line', l_orderkey * 10 + l_linenumber, {_NEW_KEY_SQL.format('l_partkey')} FROM lineitem
+UNION ALL SELECT 'supplier', s_suppkey,
+  CASE WHEN s_suppkey % 20 = 3 AND s_suppkey IN (SELECT p_partkey FROM part) THEN NULL ELSE s_suppkey END FROM supplier""")
+def dml_cascade_keys(spark, d):
+    """UPDATE of product keys: the self reference and the lines follow, featured products become NULL."""
+    shop = _shop(spark, d)
+    p = shop.tables["product"]
+    base = _next_key(p, "p_partkey")
+    key_map = p.where(F.col("p_partkey") % 20 == 3).select(F.col("p_partkey").alias("old_key"),
+                                                           (F.col("p_partkey") + base).alias("new_key"))
+    kept = {name: res.snapshot for name, res in shop.update_keys("product", "p_partkey", key_map).items()}
+    return (kept["product"].select(F.lit("product").alias("table_name"), F.col("p_partkey").alias("key"),
+                                   F.col("made_from").alias("pointer"))
+            .union(kept["line"].select(F.lit("line"), F.col("l_orderkey") * 10 + F.col("l_linenumber"), "l_partkey"))
+            .union(kept["supplier"].select(F.lit("supplier"), "s_suppkey", "featured")))
+
+
 @query("dml_set_null", """
 SELECT o_orderkey, CASE WHEN o_custkey IN (SELECT c_custkey FROM customer WHERE c_nationkey = 5)
                         THEN NULL ELSE o_custkey END AS o_custkey
