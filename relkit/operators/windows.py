@@ -11,9 +11,10 @@ operators here avoid both:
   range come from counts, one row per range;
 * ranks derive from positions (first position of each tie group), with
   aggregation before any shuffle of the tie groups;
-* ``lag``/``lead`` join each row to its neighbour by position, an equi-join on
-  a unique key, so no task receives more than its share even when one
-  partition key holds most rows.
+* ``lag``/``lead`` are Spark's window with one exchange, in which the rows of
+  a hot partition key are cut into ranges; edges are joined from a table with
+  one row per range.  Larger offsets join rows to their neighbour by position,
+  an equi-join on a unique key.
 
 Per-group top-n (DISTINCT ON, n-th per group) uses Spark's window with a rank
 filter, which plans a partial ``WindowGroupLimit`` before the shuffle.
@@ -157,53 +158,123 @@ def _join_group_value(df: DataFrame, groups: DataFrame, key_cols: Sequence[str],
     return df.join(renamed, cond, "inner").drop(*[f"_jg_{i}" for i in range(len(key_cols))])
 
 
+def _not_before(values: Sequence[Column], bounds: Sequence[Column], keys: Sequence[SortKey]) -> Column:
+    """Whether the tuple ``values`` is at or after ``bounds`` in the order ``keys``."""
+    out = F.lit(True)
+    for v, b, k in reversed(list(zip(values, bounds, keys))):
+        later = v > b if k.ascending else v < b
+        # A NULL against a value: before it or after it, as the key says.
+        above = (v.isNotNull() & b.isNull()) if k.nulls_first else (v.isNull() & b.isNotNull())
+        out = F.coalesce(later, F.lit(False)) | above | (v.eqNullSafe(b) & out)
+    return out
+
+
+def _hot_ranges(df: DataFrame, partition_cols: Sequence[str], keys: Sequence[SortKey], rows_per_range: int) -> DataFrame | None:
+    """Partition keys with more than ``rows_per_range`` rows, each with the bounds that cut it into ranges.
+
+    There are at most rows / ``rows_per_range`` such keys, and as many bounds:
+    a number set by the caller's parallelism, whatever the size of the table.
+    Bounds come from a sample of the hot keys' rows by a hash of the row, so a
+    retried task draws the same one.
+    """
+    sizes = df.groupBy(*partition_cols).agg(F.count(F.lit(1)).alias("_hr_n")).where(F.col("_hr_n") > rows_per_range)
+    sizes = sizes.select(*[F.col(c).alias(f"_hr_{i}") for i, c in enumerate(partition_cols)], "_hr_n")
+    sizes = df.sparkSession.createDataFrame(sizes.collect(), sizes.schema)
+    if sizes.isEmpty():
+        return None
+    same = F.lit(True)
+    for i, c in enumerate(partition_cols):
+        same = same & F.col(c).eqNullSafe(F.col(f"_hr_{i}"))
+    ranges = F.ceil(F.col("_hr_n") / F.lit(rows_per_range))
+    # About 64 sampled rows per range.
+    draw = F.pmod(F.xxhash64(*partition_cols, *[k.name for k in keys]), F.lit(1 << 30)) < F.least(
+        F.lit(1.0), 64.0 * ranges / F.col("_hr_n")) * (1 << 30)
+    drawn = df.select(*dict.fromkeys([*partition_cols, *[k.name for k in keys]])).join(F.broadcast(sizes), same).where(draw)
+    hot = Window.partitionBy(*[f"_hr_{i}" for i in range(len(partition_cols))])
+    place = F.row_number().over(hot.orderBy(*[k.column() for k in keys]))
+    every = F.greatest(F.lit(1), F.floor(F.count(F.lit(1)).over(hot) / ranges))
+    bounds = (drawn.withColumn("_hr_p", place).withColumn("_hr_e", every).where(F.col("_hr_p") % F.col("_hr_e") == 0)
+              .groupBy(*[f"_hr_{i}" for i in range(len(partition_cols))])
+              .agg(F.collect_list(F.struct(*[F.col(k.name).alias(f"k{i}") for i, k in enumerate(keys)])).alias("_hr_bounds")))
+    return df.sparkSession.createDataFrame(bounds.collect(), bounds.schema)
+
+
 def shift(df: DataFrame, partition_cols: Sequence[str], order: Sequence[SortKey | str],
-          value_col: str, offset: int, name: str, default: Column | str | None = None) -> DataFrame:
+          value_col: str, offset: int, name: str, default: Column | str | None = None,
+          rows_per_range: int | None = None) -> DataFrame:
     """``LAG(value, offset, default)`` (offset > 0) or ``LEAD`` (offset < 0).
 
     ``order`` must make rows unique within a partition.  ``default`` may be a
     column (``LAG(x, 1, x)``); it applies only when the neighbouring row does
     not exist, never when the neighbour's value is NULL.
 
-    For offset 1 the rows are cut into balanced range buckets of the
-    (partition, order) key; inside a bucket Spark's own window gives the
-    neighbour, and the one row per bucket whose neighbour lives in the
-    adjacent bucket takes it from a boundary table with one row per bucket.
-    So a partition key holding a third of the rows is spread over many tasks.
-    Larger offsets join rows to their neighbour by global position.
+    For offset 1 within partitions this is Spark's window, with one exchange,
+    on (partition, range): a count per key, reduced map-side, finds the keys
+    with more than ``rows_per_range`` rows, and only their rows are cut into
+    ranges of the order (all others are one range).  The row at a range's edge
+    takes its neighbour from a boundary table with one row per range of a hot
+    key.  Without partitions the whole table is one hot key, which
+    ``range_buckets`` deals and writes; larger offsets join rows to their
+    neighbour by global position.
     """
     if abs(offset) != 1:
         return _shift_by_position(df, partition_cols, order, value_col, offset, name, default)
-    keys = [*_keys(partition_cols), *_keys(order)]
+    dflt = F.lit(None) if default is None else F.col(default) if isinstance(default, str) else default
+    if not partition_cols:
+        return _shift_in_buckets(df, order, value_col, offset, name, dflt)
+    keys = _keys(order)
+    narrow = df.select(*dict.fromkeys([*partition_cols, *[k.name for k in keys]]))
+    if rows_per_range is None:
+        rows_per_range = max(1 << 20, narrow.count() // default_parallelism(df.sparkSession))
+    hot = _hot_ranges(narrow, partition_cols, keys, rows_per_range)
+    is_lag = offset == 1
+    fn = F.lag if is_lag else F.lead
+    nb = F.struct(F.col(value_col).alias("v"))
+    cols = [k.column() for k in keys]
+    if hot is None:
+        found = df.withColumn("_sh_nb", fn(nb, 1).over(Window.partitionBy(*partition_cols).orderBy(*cols)))
+        return found.withColumn(name, F.when(F.col("_sh_nb").isNotNull(), F.col("_sh_nb.v")).otherwise(dflt)).drop("_sh_nb")
+    same = F.lit(True)
+    for i, c in enumerate(partition_cols):
+        same = same & F.col(c).eqNullSafe(F.col(f"_hr_{i}"))
+    after = lambda b: _not_before([F.col(k.name) for k in keys], [b[f"k{i}"] for i in range(len(keys))], keys)
+    cut = F.when(F.col("_hr_bounds").isNotNull(), F.size(F.filter("_hr_bounds", after))).otherwise(F.lit(0))
+    tagged = (df.join(F.broadcast(hot), same, "left").withColumn("_sh_r", cut)
+                .withColumn("_sh_hot", F.col("_hr_bounds").isNotNull()).drop(*hot.columns))
+    w = Window.partitionBy(*partition_cols, "_sh_r")
+    win = (tagged.withColumn("_sh_nb", fn(nb, 1).over(w.orderBy(*cols)))
+                 .withColumn("_sh_far", (F.lead if is_lag else F.lag)(nb, 1).over(w.orderBy(*cols)).isNull()))
+    # The last row of each range of a hot key (the first one for LEAD) goes to the next range that has rows.
+    edge = win.where(F.col("_sh_hot") & F.col("_sh_far")).select(
+        *[F.col(c).alias(f"_hr_{i}") for i, c in enumerate(partition_cols)], "_sh_r", nb.alias("_sh_edge"))
+    per_key = Window.partitionBy(*[f"_hr_{i}" for i in range(len(partition_cols))]).orderBy("_sh_r")
+    to = (F.lead if is_lag else F.lag)("_sh_r", 1).over(per_key)
+    edge = edge.withColumn("_hr_r", to).where(F.col("_hr_r").isNotNull()).drop("_sh_r")
+    joined = win.join(F.broadcast(edge), same & (F.col("_sh_r") == F.col("_hr_r")) & F.col("_sh_nb").isNull(), "left")
+    neighbour = F.coalesce("_sh_nb", "_sh_edge")
+    return (joined.withColumn(name, F.when(neighbour.isNotNull(), neighbour.getField("v")).otherwise(dflt))
+                  .drop("_sh_nb", "_sh_far", "_sh_r", "_sh_hot", "_sh_edge", "_hr_r", *[f"_hr_{i}" for i in range(len(partition_cols))]))
+
+
+def _shift_in_buckets(df: DataFrame, order: Sequence[SortKey | str], value_col: str, offset: int, name: str,
+                      dflt: Column) -> DataFrame:
+    """LAG or LEAD of one over the whole table, in balanced ranges of the order."""
+    keys = _keys(order)
     tagged = range_buckets(df, keys, None, "_sh_b")
     w = Window.partitionBy("_sh_b").orderBy(*[k.column() for k in keys])
-    whole = Window.partitionBy("_sh_b")
-    nb = F.struct(*[F.col(c).alias(f"p{i}") for i, c in enumerate(partition_cols)], F.col(value_col).alias("v"))
+    nb = F.struct(F.col(value_col).alias("v"))
     is_lag = offset == 1
-    fn = F.lag if is_lag else F.lead
-    win = (tagged.withColumn("_sh_nb", fn(nb, 1).over(w))
-                 .withColumn("_sh_rn", F.row_number().over(w))
-                 .withColumn("_sh_cnt", F.count(F.lit(1)).over(whole)))
-    first = F.col("_sh_rn") == 1
-    last = F.col("_sh_rn") == F.col("_sh_cnt")
-    edge_here, edge_there = (first, last) if is_lag else (last, first)
+    fn, back = (F.lag, F.lead) if is_lag else (F.lead, F.lag)
+    win = tagged.withColumn("_sh_nb", fn(nb, 1).over(w)).withColumn("_sh_far", back(nb, 1).over(w).isNull())
     # One row per non-empty bucket; pass it to the next non-empty bucket
     # (previous one for LEAD).  Bounded by the bucket count.
-    boundary = win.where(edge_there).select("_sh_b", nb.alias("_sh_bnb"))
-    step = F.lead("_sh_b") if is_lag else F.lag("_sh_b")
-    boundary = boundary.select(step.over(Window.orderBy("_sh_b")).alias("_sh_b"), "_sh_bnb") \
-                       .where(F.col("_sh_b").isNotNull())
-    joined = win.join(F.broadcast(boundary), "_sh_b", "left")
-    neighbour = F.when(edge_here, F.col("_sh_bnb")).otherwise(F.col("_sh_nb"))
-    same = neighbour.isNotNull()
-    for i, c in enumerate(partition_cols):
-        same = same & F.col(c).eqNullSafe(neighbour.getField(f"p{i}"))
-    if default is None:
-        dflt = F.lit(None)
-    else:
-        dflt = F.col(default) if isinstance(default, str) else default
-    return (joined.withColumn(name, F.when(same, neighbour.getField("v")).otherwise(dflt))
-                  .drop("_sh_b", "_sh_nb", "_sh_rn", "_sh_cnt", "_sh_bnb"))
+    boundary = win.where("_sh_far").select("_sh_b", nb.alias("_sh_edge"))
+    step = back("_sh_b").over(Window.orderBy("_sh_b"))
+    boundary = boundary.select(step.alias("_sh_b"), "_sh_edge").where(F.col("_sh_b").isNotNull())
+    joined = win.join(F.broadcast(boundary), "_sh_b", "left").select(*win.columns, "_sh_edge")
+    neighbour = F.coalesce("_sh_nb", "_sh_edge")
+    return (joined.withColumn(name, F.when(neighbour.isNotNull(), neighbour.getField("v")).otherwise(dflt))
+                  .drop("_sh_b", "_sh_nb", "_sh_far", "_sh_edge"))
 
 
 def _shift_by_position(df, partition_cols, order, value_col, offset, name, default):
