@@ -185,3 +185,11 @@ def char_positions(c: ColumnOrName, ch: str, ignore_case: bool = True) -> Column
     n = F.char_length(s)
     found = F.filter(F.sequence(F.lit(1), n), lambda i: F.substring(s, i, 1) == F.lit(target))
     return F.when(F.coalesce(n, F.lit(0)) > 0, found).otherwise(F.array().cast("array<int>"))
+
+
+def ntz_micros(col: Column | str) -> Column:
+    """Microseconds of a timestamp without time zone, in its own order whatever the session's zone is."""
+    c = F.col(col) if isinstance(col, str) else col
+    day = F.unix_date(F.to_date(c)).cast("long") * 86_400_000_000
+    seconds = (F.extract(F.lit("SECOND"), c) * 1_000_000).cast("long")
+    return day + F.hour(c).cast("long") * 3_600_000_000 + F.minute(c).cast("long") * 60_000_000 + seconds

@@ -1,31 +1,71 @@
 """Column statistics (``ANALYZE`` / ``pg_stats`` re-expressed as a job).
 
-One aggregate pass computes, per column, the null fraction, the distinct
-count (exact, or HyperLogLog++ with ``approx=True`` for very large tables),
-and min/max as text; the result is unpivoted to one row per column.
+``profile`` gives exact counts: one aggregate pass for rows, NULLs and ranges,
+and one shuffle of (column, value) pairs, reduced map-side, for the distinct
+counts.  No row is copied whole per column.
+
+``sketches`` is the form for tables that grow: per part of the table (a month,
+say) mergeable sketches of every column are stored (HyperLogLog for distinct
+counts, KLL for the histogram, frequent items), and ``from_sketches`` merges
+them into the statistics of the table, so a new part costs one pass over that
+part.  Stated errors: distinct counts within 5% at ``lgk`` 12 (standard error
+1.6%), histogram bounds within 2% of the rows at ``k`` 200 (1.33% with 99%
+probability); the most common values are exact while a column has at most
+three quarters of ``tracked`` different values, beyond that lower counts can be off.
 """
 
 from __future__ import annotations
 
 from typing import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import (ArrayType, BinaryType, DataType, DateType, DoubleType, FloatType, MapType, NumericType,
+                               StructType, TimestampNTZType, TimestampType)
+
+from ..functions.scalar import ntz_micros
+
+
+def _as_text(col: str, kind: DataType) -> Column:
+    """The value as text, different for different values (zeros of either sign are one value)."""
+    if isinstance(kind, (DoubleType, FloatType)):
+        return (F.col(col) + F.lit(0.0)).cast("string")
+    if isinstance(kind, TimestampType):
+        return F.unix_micros(col).cast("string")
+    if isinstance(kind, BinaryType):
+        return F.hex(col)
+    if isinstance(kind, (ArrayType, MapType, StructType)):
+        return F.when(F.col(col).isNotNull(), F.to_json(F.struct(col), {"ignoreNullFields": "false"}))
+    return F.col(col).cast("string")
+
+
+def value_counts(df: DataFrame, cols: Sequence[str]) -> DataFrame:
+    """(column_name, value as text, freq) of every present value, in one shuffle of such pairs."""
+    pairs = [F.struct(F.lit(c).alias("column_name"), _as_text(c, df.schema[c].dataType).alias("value")) for c in cols]
+    return (df.select(F.explode(F.array(*pairs)).alias("p")).select("p.*").where(F.col("value").isNotNull())
+              .groupBy("column_name", "value").agg(F.count(F.lit(1)).alias("freq")))
 
 
 def profile(df: DataFrame, cols: Sequence[str] | None = None, approx: bool = False,
             profiled_at: str | None = None) -> DataFrame:
+    """One row per column: rows, share of NULLs, distinct values (or HyperLogLog++ with ``approx``), range."""
     cols = list(cols or df.columns)
     aggs = [F.count(F.lit(1)).alias("_n")]
     for i, c in enumerate(cols):
-        distinct = F.approx_count_distinct(c) if approx else F.count_distinct(F.col(c))
-        aggs += [F.count(F.col(c)).alias(f"_nn{i}"), distinct.alias(f"_d{i}"),
-                 F.min(c).cast("string").alias(f"_lo{i}"), F.max(c).cast("string").alias(f"_hi{i}")]
+        aggs += [F.count(F.col(c)).alias(f"_nn{i}"), F.min(c).cast("string").alias(f"_lo{i}"),
+                 F.max(c).cast("string").alias(f"_hi{i}")]
+        if approx:
+            aggs.append(F.approx_count_distinct(c).alias(f"_d{i}"))
     one = df.agg(*aggs)
-    rows = ", ".join(f"'{c}', _nn{i}, _d{i}, _lo{i}, _hi{i}" for i, c in enumerate(cols))
+    rows = ", ".join(f"'{c}', _nn{i}, {f'_d{i}' if approx else 'CAST(NULL AS BIGINT)'}, _lo{i}, _hi{i}" for i, c in enumerate(cols))
     out = one.select(
         F.col("_n").alias("n_rows"),
         F.expr(f"stack({len(cols)}, {rows}) as (column_name, n_present, n_distinct, min_value, max_value)"))
+    if not approx:
+        # One row per column on either side.
+        counted = value_counts(df, cols).groupBy(F.col("column_name").alias("_c")).agg(F.count(F.lit(1)).alias("_d"))
+        out = (out.join(F.broadcast(counted), F.col("column_name") == F.col("_c"), "left")
+                  .withColumn("n_distinct", F.coalesce("_d", F.lit(0))))
     out = out.select(
         "column_name", "n_rows",
         F.when(F.col("n_rows") > 0, (F.col("n_rows") - F.col("n_present")) / F.col("n_rows"))
@@ -39,3 +79,54 @@ def frequent_values(df: DataFrame, col: str, k: int = 5) -> DataFrame:
     """The ``k`` most common values with their frequency (ties by value)."""
     counts = df.groupBy(col).agg(F.count(F.lit(1)).alias("freq"))
     return counts.orderBy(F.col("freq").desc(), F.col(col).asc_nulls_last()).limit(k)
+
+
+# ------------------------------------------------------------ sketches
+
+def _as_number(col: str, kind: DataType) -> Column | None:
+    """What the histogram is drawn over, for columns that have one."""
+    if isinstance(kind, NumericType):
+        number = F.col(col).cast("double")
+        return F.when(~F.isnan(number), number)
+    if isinstance(kind, DateType):
+        return F.unix_date(col).cast("double")
+    if isinstance(kind, TimestampNTZType):
+        return ntz_micros(col).cast("double")
+    return F.unix_micros(col).cast("double") if isinstance(kind, TimestampType) else None
+
+
+def sketches(df: DataFrame, part: Column, cols: Sequence[str], lgk: int = 12, k: int = 200, tracked: int = 1000) -> DataFrame:
+    """One row per part: rows and, per column, present values and sketches (histograms for numbers, dates, times)."""
+    kinds = {c: df.schema[c].dataType for c in cols}
+    flat = df.select(part.alias("part"), *[_as_text(c, kinds[c]).alias(f"t{i}") for i, c in enumerate(cols)],
+                     *[_as_number(c, kinds[c]).alias(f"x{i}") for i, c in enumerate(cols) if _as_number(c, kinds[c]) is not None])
+    aggs = [F.count(F.lit(1)).alias("n_rows")]
+    for i, _ in enumerate(cols):
+        aggs += [F.count(f"t{i}").alias(f"present_{i}"), F.hll_sketch_agg(f"t{i}", lgk).alias(f"hll_{i}"),
+                 F.expr(f"approx_top_k_accumulate(t{i}, {tracked})").alias(f"top_{i}")]
+        if f"x{i}" in flat.columns:
+            aggs.append(F.expr(f"kll_sketch_agg_double(x{i}, {k})").alias(f"kll_{i}"))
+    return flat.groupBy("part").agg(*aggs)
+
+
+def from_sketches(stored: DataFrame, cols: Sequence[str], bounds: int = 10, top: int = 5) -> DataFrame:
+    """One row per column: rows, share of NULLs, distinct estimate, histogram bounds, most common values."""
+    aggs = [F.sum("n_rows").alias("n_rows")]
+    for i, _ in enumerate(cols):
+        aggs += [F.sum(f"present_{i}").alias(f"present_{i}"), F.hll_sketch_estimate(F.hll_union_agg(f"hll_{i}")).alias(f"d_{i}"),
+                 F.expr(f"approx_top_k_estimate(approx_top_k_combine(top_{i}), {top + 1})").alias(f"common_{i}")]
+        if f"kll_{i}" in stored.columns:
+            aggs.append(F.expr(f"kll_merge_agg_double(kll_{i})").alias(f"kll_{i}"))
+    one = stored.agg(*aggs)
+    shares = ", ".join(f"CAST({j / bounds} AS DOUBLE)" for j in range(bounds + 1))
+    rows = []
+    for i, c in enumerate(cols):
+        # A sketch without values has no quantiles.
+        drawn = (f"CASE WHEN kll_sketch_get_n_double(kll_{i}) > 0 THEN kll_sketch_get_quantile_double(kll_{i}, array({shares})) END"
+                 if f"kll_{i}" in stored.columns else f"CASE WHEN n_rows < 0 THEN array({shares}) END")
+        # The frequent items count NULL as one.
+        rows.append(f"'{c}', present_{i}, CASE WHEN present_{i} > 0 THEN d_{i} ELSE 0 END, {drawn}, "
+                    f"slice(transform(filter(common_{i}, x -> x.item IS NOT NULL), x -> struct(x.item AS value, x.count AS freq)), 1, {top})")
+    out = one.select("n_rows", F.expr(f"stack({len(cols)}, {', '.join(rows)}) AS (column_name, n_present, n_distinct, bounds, common)"))
+    null = F.when(F.col("n_rows") > 0, (F.col("n_rows") - F.col("n_present")) / F.col("n_rows")).otherwise(F.lit(0.0))
+    return out.select("column_name", "n_rows", null.alias("null_frac"), "n_distinct", "bounds", "common")

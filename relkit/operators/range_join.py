@@ -26,6 +26,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import DateType, TimestampNTZType, TimestampType
 
+from ..functions.scalar import ntz_micros
 from ..session import default_parallelism
 
 #: Bins at most: their numbers stay exact as doubles and integers.
@@ -38,7 +39,7 @@ def _number(df: DataFrame, col: str) -> Column:
     if isinstance(kind, DateType):
         return F.unix_date(col).cast("double")
     if isinstance(kind, TimestampNTZType):
-        return F.unix_micros(F.col(col).cast("timestamp")).cast("double")
+        return ntz_micros(col).cast("double")
     if isinstance(kind, TimestampType):
         return F.unix_micros(col).cast("double")
     return F.col(col).cast("double")

@@ -4,6 +4,8 @@ themselves are never modified)."""
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import functions as F
 
 from ..functions import scalar as fx
@@ -12,6 +14,7 @@ from ..operators.cascade import CASCADE, SET_NULL, ForeignKey, Schema
 from ..operators.dml import S, When
 from ..session import scratch_path
 from ..sources.tables import Tables
+from ..sources.temp import TempTable
 from . import sqltext as q
 from .registry import query
 
@@ -163,6 +166,30 @@ def dml_merge(spark, d):
     return dml.merge(p, existing.unionByName(new), ["p_partkey"], clauses).snapshot
 
 
+@query("dml_merge_temp", f"""
+WITH src AS (SELECT p_partkey, CAST({q.money('p_retailprice')} - 10 AS DOUBLE) AS price, p_size % 2 AS disc, p_name AS name
+             FROM part WHERE p_size >= 40
+             UNION ALL SELECT p_partkey + {_NEXT_PART}, p_retailprice, 0, p_name || ' new' FROM part WHERE p_size <= 2)
+SELECT * FROM part WHERE p_partkey NOT IN (SELECT p_partkey FROM src)
+UNION ALL SELECT p.p_partkey, p.p_name, p.p_brand, p.p_type, p.p_size, s.price FROM part p JOIN src s USING (p_partkey) WHERE s.disc = 0
+UNION ALL SELECT p_partkey, name, NULL, NULL, NULL, price FROM src WHERE disc = 0 AND p_partkey NOT IN (SELECT p_partkey FROM part)""")
+def dml_merge_temp(spark, d):
+    """CREATE TEMP TABLE, two INSERTs into it, and a MERGE that reads it by name."""
+    p = Tables(spark, d).part
+    base = _next_key(p, "p_partkey")
+    updates = TempTable(spark, f"updated_products_{uuid.uuid4().hex[:8]}", "product bigint, name string, price double, disc int")
+    updates.insert(p.where(F.col("p_size") >= 40).select(
+        F.col("p_partkey").alias("product"), F.col("p_name").alias("name"),
+        (fx.money("p_retailprice") - 10).cast("double").alias("price"), (F.col("p_size") % 2).alias("disc")))
+    updates.insert(p.where(F.col("p_size") <= 2).select(
+        (F.col("p_partkey") + base).alias("product"), F.concat("p_name", F.lit(" new")).alias("name"),
+        F.col("p_retailprice").alias("price")), defaults={"disc": 0})
+    source = updates.read().withColumnRenamed("product", "p_partkey")
+    clauses = [When(True, "delete", S("disc") == 1), When(True, {"p_retailprice": S("price")}, S("disc") == 0),
+               When(False, {"p_partkey": S("p_partkey"), "p_name": S("name"), "p_retailprice": S("price")}, S("disc") == 0)]
+    return dml.merge(p, source, ["p_partkey"], clauses).snapshot
+
+
 @query("dml_cascade_update", """
 SELECT l_orderkey, l_linenumber, l_partkey,
        CASE WHEN l_suppkey IN (SELECT s_suppkey FROM supplier WHERE s_nationkey = 3)
@@ -314,6 +341,19 @@ def audit_update_prices(spark, d):
                        F.col("new_p_retailprice").alias("new_price"), "user_name", "changed_at")
 
 
+@query("audit_session", """
+SELECT 'DELETE' AS operation, p_partkey, TRUE AS by_session_user, current_date AS changed_on, TRUE AS within_statement
+FROM part WHERE p_size = 50""")
+def audit_session(spark, d):
+    """Audit rows with the session's own user, date and statement time (CURRENT_USER, CURRENT_DATE, CURRENT_TIMESTAMP)."""
+    before = spark.sql("SELECT current_timestamp() AS t").first()["t"]
+    audit = dml.delete(Tables(spark, d).part, F.col("p_size") == 50, audit_keys=["p_partkey"]).audit
+    recent = F.col("changed_at") >= F.lit(before)
+    return audit.select("operation", "p_partkey", (F.col("user_name") == F.current_user()).alias("by_session_user"),
+                        F.to_date("changed_at").alias("changed_on"),
+                        (recent & (F.to_date("changed_at") == F.current_date())).alias("within_statement"))
+
+
 @query("audit_all_ops", f"""
 WITH ins AS (SELECT p_partkey + {_NEXT_PART} AS p_partkey, p_type, p_size FROM part WHERE p_size = 1),
      s1 AS (SELECT p_partkey, p_type, p_size FROM part UNION ALL SELECT * FROM ins)

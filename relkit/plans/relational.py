@@ -12,7 +12,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from ..functions import scalar as fx
-from ..operators import joins, setops, subqueries
+from ..operators import joins, rollup, sampling, setops, subqueries
 from ..operators.range_join import range_join
 from ..operators.windows import asc, desc, distinct_on
 from ..sources.tables import Tables
@@ -480,6 +480,60 @@ def filter_yes_yes(spark, d):
     return j.where((F.col("previous_label") == "Yes") & (F.col("current_label") == "Yes"))
 
 
+_FIVE_SQL = """
+SELECT c_custkey AS participant,
+  CASE WHEN c_acctbal < 0 THEN 'Yes' WHEN c_acctbal >= 0 THEN 'No' ELSE 'Unknown' END AS previous_label,
+  CASE WHEN n_open > 0 THEN 'Yes' WHEN n_open = 0 THEN 'No' ELSE 'Unknown' END AS current_label,
+  CASE WHEN returned = 1 THEN 'Yes' WHEN returned = 0 THEN 'No' ELSE 'Unknown' END AS screening_label,
+  CASE WHEN errors = 1 THEN 'Yes' WHEN errors = 0 THEN 'No' ELSE 'Unknown' END AS history_label,
+  CASE WHEN p_size > 25 THEN 'Yes' WHEN p_size <= 25 THEN 'No' ELSE 'Unknown' END AS outcome_label
+FROM customer
+JOIN (SELECT o_custkey, count(*) FILTER (WHERE o_orderstatus = 'O') AS n_open FROM orders GROUP BY 1) o ON o_custkey = c_custkey
+JOIN (SELECT o_custkey AS who, max(CASE WHEN l_returnflag = 'R' THEN 1 ELSE 0 END) AS returned
+      FROM lineitem JOIN orders ON o_orderkey = l_orderkey GROUP BY 1) l ON l.who = c_custkey
+JOIN (SELECT user_id, max(CASE WHEN event_type = 'error' THEN 1 ELSE 0 END) AS errors FROM events GROUP BY 1) e
+  ON e.user_id = c_custkey
+JOIN part ON p_partkey = c_custkey"""
+
+
+def five_inputs(spark, d):
+    """Five tables with one row per participant (the customer number), joined on it."""
+    t = Tables(spark, d)
+    o = t.orders.select("o_orderkey", F.col("o_custkey").alias("participant"), "o_orderstatus")
+    yes = lambda cond: F.max(F.when(cond, 1).otherwise(0))
+    demographics = t.customer.select(F.col("c_custkey").alias("participant"), F.when(F.col("c_acctbal") < 0, 1)
+                                     .when(F.col("c_acctbal") >= 0, 0).alias("previous"))
+    visits = o.groupBy("participant").agg(yes(F.col("o_orderstatus") == "O").alias("current"))
+    li = t.lineitem.select("l_orderkey", "l_returnflag")
+    screening = (li.join(o, F.col("l_orderkey") == F.col("o_orderkey")).groupBy("participant")
+                   .agg(yes(F.col("l_returnflag") == "R").alias("returned")))
+    history = t.events.groupBy(F.col("user_id").alias("participant")).agg(yes(F.col("event_type") == "error").alias("errors"))
+    outcomes = t.part.select(F.col("p_partkey").alias("participant"), F.when(F.col("p_size") > 25, 1)
+                             .when(F.col("p_size") <= 25, 0).alias("outcome"))
+    j = joins.chain([demographics, visits, screening, history, outcomes], ["participant"] * 4)
+    return j.select("participant", fx.yes_no("previous").alias("previous_label"), fx.yes_no("current").alias("current_label"),
+                    fx.yes_no("returned").alias("screening_label"), fx.yes_no("errors").alias("history_label"),
+                    fx.yes_no("outcome").alias("outcome_label"))
+
+
+@query("join_five_inputs", _FIVE_SQL)
+def join_five_inputs(spark, d):
+    return five_inputs(spark, d)
+
+
+@query("status_of_participant", f"SELECT * FROM ({_FIVE_SQL}) t WHERE participant = 7")
+def status_of_participant(spark, d):
+    """The procedure for one id: its predicate reaches all five scans."""
+    return five_inputs(spark, d).where(F.col("participant") == 7)
+
+
+@query("outcomes_of_yes_yes", f"SELECT participant, history_label, outcome_label FROM ({_FIVE_SQL}) t WHERE current_label = 'Yes' AND screening_label = 'Yes'")
+def outcomes_of_yes_yes(spark, d):
+    """The recursive row-by-row procedure as one filter over all participants."""
+    j = five_inputs(spark, d).where((F.col("current_label") == "Yes") & (F.col("screening_label") == "Yes"))
+    return j.select("participant", "history_label", "outcome_label")
+
+
 @query("join_distinct_views", """
 SELECT v1.l_orderkey, v1.l_partkey, v2.p_brand
 FROM (SELECT DISTINCT l_orderkey, l_partkey FROM lineitem) v1
@@ -545,6 +599,22 @@ def agg_count_distinct_dow(spark, d):
              .agg(F.count_distinct("user_id").alias("n_users")))
 
 
+_USER_DAYS = "SELECT user_id, CAST(ts AS DATE) AS day FROM events"
+
+
+@query("agg_distinct_rollup", " UNION ALL ".join(f"""
+SELECT '{level}' AS level, {value} AS value, count(DISTINCT user_id) AS n_users FROM ({_USER_DAYS}) e GROUP BY 2"""
+    for level, value in (("year", "CAST(year(day) AS VARCHAR)"), ("month", "strftime(day, '%Y-%m')"),
+                         ("weekday", "CAST(dayofweek(day) AS VARCHAR)"), ("day", "CAST(day AS VARCHAR)"))))
+def agg_distinct_rollup(spark, d):
+    """Distinct users per year, month, weekday and day, all from one table of bitmaps per day."""
+    e = Tables(spark, d).events
+    days = rollup.distinct_bitmaps(e, {"day": fx.to_day("ts")}, "user_id")
+    return rollup.rolled_up_levels(days, {
+        "year": F.year("day"), "month": F.date_format("day", "yyyy-MM"), "weekday": F.dayofweek("day") - 1,
+        "day": F.col("day")}, "n_users")
+
+
 @query("agg_avg_price_band", f"""
 SELECT p_type, count(*) AS n_parts, {q.avg_money('p_retailprice')} AS avg_price FROM part GROUP BY p_type""")
 def agg_avg_price_band(spark, d):
@@ -747,6 +817,40 @@ def limit_offset_page(spark, d):
     return o.orderBy("o_orderkey").offset(20).limit(10)
 
 
+def _draw_sql(key: str, seed: int) -> str:
+    return f"md5('{seed}|' || {key})"
+
+
+@query("sample_seeded", f"""
+SELECT c_custkey, c_name FROM customer WHERE c_mktsegment = 'BUILDING' ORDER BY {_draw_sql('c_custkey', 52)}, c_custkey LIMIT 10""")
+def sample_seeded(spark, d):
+    """Ten random customers of one segment; the same ones for the same seed."""
+    c = Tables(spark, d).customer.where(F.col("c_mktsegment") == "BUILDING")
+    return sampling.sample_fixed(c, 10, ["c_custkey"], 52).select("c_custkey", "c_name")
+
+
+@query("sample_by_segment", f"""
+SELECT c_custkey, c_mktsegment FROM (
+  SELECT c_custkey, c_mktsegment, row_number() OVER (PARTITION BY c_mktsegment ORDER BY {_draw_sql('c_custkey', 7)}, c_custkey) AS n
+  FROM customer) t
+WHERE n <= 20""")
+def sample_by_segment(spark, d):
+    """Twenty random customers of every segment."""
+    c = Tables(spark, d).customer.select("c_custkey", "c_mktsegment")
+    return sampling.sample_stratified(c, ["c_mktsegment"], 20, ["c_custkey"], 7)
+
+
+@query("sample_by_price", f"""
+SELECT o_orderkey, o_totalprice FROM orders WHERE o_totalprice > 0
+ORDER BY -ln((CAST('0x' || substr({_draw_sql('o_orderkey', 11)}, 1, 13) AS BIGINT) + 0.5::DOUBLE) / 4503599627370496.0::DOUBLE)
+         / o_totalprice, o_orderkey
+LIMIT 50""")
+def sample_by_price(spark, d):
+    """Fifty orders drawn without replacement, each with a chance in proportion to its price."""
+    o = Tables(spark, d).orders.select("o_orderkey", "o_totalprice")
+    return sampling.sample_weighted(o, 50, "o_totalprice", ["o_orderkey"], 11)
+
+
 @query("sample_random10")
 def sample_random10(spark, d):
     """Ten random customers of one segment; differs per run (rows-only check)."""

@@ -58,6 +58,17 @@ def partition_inventory(spark, d):
     return files.partition_inventory(monthly_orders(spark, d), "order_date")
 
 
+@query("partition_inventory_footers", f"""
+SELECT month, min(order_date) AS min_date, max(order_date) AS max_date, count(*) AS n_rows
+FROM ({_MONTH_ROWS_SQL}) t GROUP BY month""")
+def partition_inventory_footers(spark, d):
+    """The inventory from the files' statistics; no row is read."""
+    o = Tables(spark, d).orders.select("o_orderkey", "o_custkey", "o_totalprice", fx.to_day("o_orderdate").alias("order_date"))
+    path = scratch_path(spark, "orders_inventory")
+    files.write_by_month(o, "order_date", path)
+    return files.inventory_from_footers(spark, path, o.withColumn(files.MONTH, F.lit("")).schema, "order_date")
+
+
 @query("part_single_month", f"SELECT * FROM ({_MONTH_ROWS_SQL}) t WHERE month = '1997-06'")
 def part_single_month(spark, d):
     return files.single_month(monthly_orders(spark, d), "1997-06")
@@ -271,3 +282,33 @@ def profile_frequent(spark, d):
         top = top.select(F.lit(col).alias("column_name"), "value", "freq")
         out = top if out is None else out.unionByName(top)
     return out
+
+
+_SKETCHED = ("l_extendedprice", "l_partkey", "l_shipdate", "l_returnflag")
+
+
+@query("profile_sketches", " UNION ALL ".join(f"""
+SELECT '{c}' AS column_name, count(*) AS n_rows, (count(*) - count({c})) / count(*) AS null_frac, TRUE AS distinct_within,
+       {'TRUE' if c != 'l_returnflag' else 'NULL'} AS bounds_within FROM lineitem""" for c in _SKETCHED))
+def profile_sketches(spark, d):
+    """Statistics merged from sketches stored per ship month, held against exact counts: distinct values within 5%,
+    and every histogram bound within 2% of the rows of its share."""
+    li = Tables(spark, d).lineitem.select(*_SKETCHED)
+    stored = publish.materialize(prof.sketches(li, files.month_key("l_shipdate"), _SKETCHED), scratch_path(spark, "sketches"))
+    found = prof.from_sketches(stored, _SKETCHED)
+    exact = prof.profile(li, _SKETCHED).select(F.col("column_name").alias("c"), F.col("n_distinct").alias("exact"))
+    # The four rows of bounds meet every row once: for each bound, the rows below it and up to it.
+    drawn = found.where(F.col("bounds").isNotNull()).select("column_name", F.posexplode("bounds").alias("j", "bound"))
+    number = {"l_extendedprice": F.col("l_extendedprice"), "l_partkey": F.col("l_partkey").cast("double"),
+              "l_shipdate": fx.ntz_micros(F.col("l_shipdate").cast("timestamp_ntz")).cast("double")}
+    values = prof.value_counts(li.select(*[x.alias(c) for c, x in number.items()]), list(number)).select(
+        F.col("column_name").alias("vc"), F.col("value").cast("double").alias("x"), "freq")
+    ranks = values.join(F.broadcast(drawn), F.col("vc") == F.col("column_name")).groupBy("column_name", "j").agg(
+        (F.sum(F.when(F.col("x") < F.col("bound"), F.col("freq")).otherwise(0)) / F.sum("freq")).alias("below"),
+        (F.sum(F.when(F.col("x") <= F.col("bound"), F.col("freq")).otherwise(0)) / F.sum("freq")).alias("upto"))
+    share = F.col("j") / 10
+    within = ranks.groupBy(F.col("column_name").alias("b")).agg(
+        F.bool_and((F.col("below") - 0.02 <= share) & (share <= F.col("upto") + 0.02)).alias("bounds_within"))
+    out = found.join(F.broadcast(exact), F.col("column_name") == F.col("c")).join(F.broadcast(within), F.col("column_name") == F.col("b"), "left")
+    close = F.abs(F.col("n_distinct") - F.col("exact")) <= F.greatest(F.lit(1.0), 0.05 * F.col("exact"))
+    return out.select("column_name", "n_rows", "null_frac", close.alias("distinct_within"), "bounds_within")

@@ -86,3 +86,24 @@ def partition_inventory(df: DataFrame, date_col: str) -> DataFrame:
     """Partitions with their actual date range and row count."""
     return df.groupBy(MONTH).agg(F.min(date_col).alias("min_date"), F.max(date_col).alias("max_date"),
                                  F.count(F.lit(1)).alias("n_rows"))
+
+
+def inventory_from_footers(spark: SparkSession, path: str, schema: StructType | str, date_col: str) -> DataFrame:
+    """The same inventory of a month-partitioned Parquet table from its files' statistics.
+
+    Counts and date ranges per month are pushed into the scan (Spark's
+    aggregate pushdown of the Parquet source), which then reads file footers
+    and no rows.  The setting belongs to a session of its own, so the caller's
+    is left alone.  Spark pushes dates and numbers, not timestamps.
+    """
+    own = spark.newSession()
+    for key, value in spark.conf.getAll.items():
+        if own.conf.isModifiable(key):
+            own.conf.set(key, value)
+    own.conf.set("spark.sql.sources.useV1SourceList", "")
+    own.conf.set("spark.sql.parquet.aggregatePushdown", "true")
+    table = own.read.schema(schema).parquet(path)
+    dated = partition_inventory(table.where(F.col(MONTH).isNotNull()), date_col)
+    # Files without any date have no range in their footers; their rows are counted.
+    undated = table.where(F.col(MONTH).isNull()).groupBy(MONTH).agg(F.count(F.lit(1)).alias("n_rows"))
+    return dated.unionByName(undated, allowMissingColumns=True)

@@ -1,3 +1,4 @@
+import pytest
 import datetime as dt
 import os
 
@@ -92,3 +93,16 @@ def test_profile_approx_and_frequent_values(spark):
     assert 9 <= p["k"]["n_distinct"] <= 11 and 950 <= p["id"]["n_distinct"] <= 1050
     top = frequent_values(df.where("id < 25"), "k", 3).collect()
     assert [(r["k"], r["freq"]) for r in top] == [(0, 3), (1, 3), (2, 3)]
+
+
+def test_temp_tables_are_filled_and_dropped(spark):
+    from relkit.sources.temp import TempTable
+    t = TempTable(spark, "t_temp_rows", "k int, name string, qty int")
+    assert t.read().count() == 0
+    t.insert(spark.createDataFrame([("a", 1)], "name string, k int"), defaults={"qty": 0})
+    t.insert(spark.sql("SELECT k + 1 AS k, name, 5 AS qty FROM t_temp_rows"))
+    assert rows(spark.sql("SELECT * FROM t_temp_rows")) == [(1, "a", 0), (2, "a", 5)]
+    with pytest.raises(ValueError):
+        TempTable(spark, "t_temp_rows", "k int")
+    t.drop()
+    assert not spark.catalog.tableExists("t_temp_rows")
