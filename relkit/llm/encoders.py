@@ -3,8 +3,8 @@
 ``load(path)`` reads a ``tokenizers`` JSON file or a ``sentencepiece`` model.
 A byte-level BPE file whose merges are in id order is run by ``tiktoken`` on
 the same vocabulary, which gives the same ids several times faster; texts that
-hold one of its special strings, and every other file, go through the file's
-own library.  ``tests/llm/test_tokens.py`` holds the two against each other.
+hold one of its special strings or very long white space, and every other file,
+go through the file's own library.  The tests hold the two against each other.
 """
 
 from __future__ import annotations
@@ -12,6 +12,7 @@ from __future__ import annotations
 import functools
 import json
 import re
+import unicodedata
 
 import numpy as np
 
@@ -19,6 +20,21 @@ import numpy as np
 BYTE_LEVEL_PATTERN = r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"""
 
 
+#: A white-space run of this length goes through the file's own library.
+LONG_RUN = 1 << 16
+
+
+@functools.lru_cache(1 << 16)
+def _is_letter(c: str) -> bool:
+    return bool(c) and unicodedata.ucd_3_2_0.category(c)[0] == "L"
+
+
+@functools.lru_cache(1 << 16)
+def _ends_letters(c: str) -> bool:
+    """White space, punctuation or a symbol."""
+    return bool(c) and (c in "\t\n\v\f\r" or unicodedata.ucd_3_2_0.category(c)[0] in "ZPS")
+
+
 def _byte_of_symbol() -> dict[str, int]:
     """The byte that each printable symbol of a byte-level vocabulary stands for."""
     shown = [b for b in range(256) if 33 <= b <= 126 or 161 <= b <= 172 or b >= 174]
@@ -39,12 +55,18 @@ class ByteLevelBPE(Encoder):
     def proven(self, data: bytes, at: int) -> bool:
         """Whether ``at`` splits the encoding of any text that holds ``data`` here.
 
-        True before a single space between two visible ASCII characters: no
-        pre-token reaches over it from the left, and the one that starts there
-        does not look further left.
+        True between a letter and a white-space, punctuation or symbol
+        character: only letters continue a run of letters, so the pre-token
+        with the letter ends there whatever stands further left, and the next
+        one does not look back.  Characters count as what they are in Unicode
+        3.2 already, on which all later tables agree.  A character that a
+        special string holds proves nothing, as the string is cut out first.
         """
-        return (self._local and 0 < at < len(data) - 1 and data[at] == 32
-                and 32 < data[at - 1] < 127 and 32 < data[at + 1] < 127)
+        if not 0 < at < len(data) or data[at] & 0xC0 == 0x80:
+            return False
+        left = data[max(0, at - 4):at].decode("utf-8", "ignore")[-1:]
+        right = data[at:at + 4].decode("utf-8", "ignore")[:1]
+        return _is_letter(left) and _ends_letters(right) and right not in self._special_symbols
 
     def __init__(self, spec: dict, slow) -> None:
         import tiktoken
@@ -55,8 +77,8 @@ class ByteLevelBPE(Encoder):
         self._special = re.compile("|".join(map(re.escape, special))) if special else None
         self._fast = tiktoken.Encoding("vocabulary", pat_str=BYTE_LEVEL_PATTERN, mergeable_ranks=ranks, special_tokens={})
         self._slow = slow
-        # A special string with a space could reach over a proven place.
-        self._local = not any(" " in t for t in special)
+        self._special_symbols = set("".join(special))
+        self._long_run = re.compile(r"\s{%d}" % LONG_RUN)
         size = max([*ranks.values(), *(t["id"] for t in spec["added_tokens"])]) + 1
         self._width = np.zeros(size, np.int64)
         for piece, i in ranks.items():
@@ -65,7 +87,8 @@ class ByteLevelBPE(Encoder):
             self._width[t["id"]] = len(t["content"].encode())
 
     def ids(self, text: str) -> np.ndarray:
-        if self._special and self._special.search(text):
+        # The fast matcher has no stack for very long white space.
+        if (self._special and self._special.search(text)) or (len(text) >= LONG_RUN and self._long_run.search(text)):
             return np.array(self._slow.encode(text, add_special_tokens=False).ids, np.uint32)
         return np.array(self._fast.encode_ordinary(text), np.uint32)
 

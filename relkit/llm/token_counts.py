@@ -5,8 +5,9 @@ neighbouring windows are spliced at a byte where both encodings end a token
 and which is proven stable: the text there splits into tokens the same way
 whatever stands further away (``Encoder.proven``).  When the overlap holds no
 such byte it is widened by going back twice as far, up to the whole window,
-and then the window grows; so a text without any safe place is encoded whole
-and the count is always the library's count of the whole text.
+and then the window grows up to the next one; so a run without any safe place
+is encoded whole, once, and the count is always the library's count of the
+whole text.
 
 Only one window is encoded at a time.  Documents need no shuffle.
 
@@ -18,6 +19,7 @@ NULL ids are rows of their own; extra columns are ignored.
 
 from __future__ import annotations
 
+import re
 from collections.abc import Iterator
 
 import numpy as np
@@ -39,6 +41,22 @@ def _clip(data: bytes, at: int) -> int:
     return at
 
 
+#: Where a proven place can be: a letter before something that is neither letter nor digit.
+_CANDIDATE = re.compile(r"[^\W\d_][\W_]")
+
+
+def _places(encoder: ByteLevelBPE, data: bytes, low: int, high: int) -> list[int]:
+    """The proven places of ``data`` in (low, high), ascending."""
+    low, high = _clip(data, low), _clip(data, high)
+    text, out, seen, at = data[low:high].decode("utf-8"), [], 0, low
+    for m in _CANDIDATE.finditer(text):
+        at += len(text[seen:m.start() + 1].encode("utf-8"))
+        seen = m.start() + 1
+        if encoder.proven(data, at):
+            out.append(at)
+    return out
+
+
 def spliced_ids(encoder: Encoder, text: str, window: int = WINDOW, overlap: int = OVERLAP) -> Iterator[np.ndarray]:
     """The token ids of ``text`` in order, encoded window by window."""
     data = text.encode("utf-8")
@@ -55,26 +73,33 @@ def spliced_ids(encoder: Encoder, text: str, window: int = WINDOW, overlap: int
     ids, ends = encode(start, stop)
     while stop < len(data):
         back = overlap
-        while True:
+        again = _clip(data, max(start, stop - back))
+        places = _places(encoder, data, again, stop)
+        while not places and again > start:
+            # No safe place in the overlap: widen it, up to the whole window.
+            back *= 2
             again = _clip(data, max(start, stop - back))
-            after = _clip(data, again + size)
+            places = _places(encoder, data, again, stop)
+        if places:
+            # The next window reaches beyond this one, however far the overlap goes back.
+            after = _clip(data, stop + size)
             next_ids, next_ends = encode(again, after)
             # The two share the bytes from `again` to `stop`; a token's end there can be the seam if it is proven.
-            common = np.intersect1d(ends, next_ends)
-            seam = next((int(p) for p in common[::-1] if again < p < stop and encoder.proven(data, int(p))), None)
-            if seam is not None:
+            common = np.intersect1d(np.intersect1d(ends, next_ends), places)
+            if len(common):
+                seam = int(common[-1])
                 yield ids[: np.searchsorted(ends, seam, side="right")]
                 beyond = next_ends > seam
                 ids, ends = next_ids[beyond], next_ends[beyond]
                 start, stop, size = seam, after, window
+                continue
+        # No safe place in the whole window: let it grow until it has one, and encode it anew.
+        while True:
+            size *= 2
+            before, stop = stop, _clip(data, start + size)
+            if stop >= len(data) or _places(encoder, data, max(start, before - 8), stop):
                 break
-            if again == start:
-                # No safe place in the whole window: let it grow and encode it anew.
-                size *= 2
-                stop = _clip(data, start + size)
-                ids, ends = encode(start, stop)
-                break
-            back *= 2
+        ids, ends = encode(start, stop)
     yield ids
 
 
