@@ -141,8 +141,7 @@ def flag_documents(docs: DataFrame, benchmark: DataFrame, share: float = SHARE)
 def drop_contaminated(docs: DataFrame, benchmark: DataFrame, share: float = SHARE) -> DataFrame:
     """``docs`` without the documents that hold a test item."""
     found = contaminated(docs, benchmark, share).select(*(F.col(k).alias(f"p_{k}") for k in KEYS)).distinct()
-    names = docs.columns
-    rows = docs.select(*names, *(c.alias(f"_{k}") for c, k in zip(text_keys(), ("t1", "t2"))))
-    same = (F.col("doc_id").cast("long").eqNullSafe(F.col("p_doc_id")) & (F.col("_t1") == F.col("p_t1"))
-            & (F.col("_t2") == F.col("p_t2")))
-    return rows.join(found, same, "left_anti").select(*names)
+    # The row travels as one struct, so that its names meet no others.
+    rows = docs.select(F.struct(*docs.columns).alias("row"), F.col("doc_id").cast("long").alias("id"), *text_keys())
+    same = F.col("id").eqNullSafe(F.col("p_doc_id")) & (F.col("t1") == F.col("p_t1")) & (F.col("t2") == F.col("p_t2"))
+    return rows.join(found, same, "left_anti").select("row.*")

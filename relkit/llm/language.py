@@ -11,7 +11,7 @@ The language with the shortest code wins; the score is its probability among
 the languages when each code length is read as -log2 of a likelihood.
 
 Learning takes a bounded sample, about ``SAMPLE_DOCS`` whole documents per
-language chosen by a hash of doc_id, and counts their 4-byte strings on the
+language chosen by a hash of doc_id and text, and counts their 4-byte strings on the
 executors.  Every count is kept, and each language has a table of its own, so
 no language depends on how many others there are; the sample bounds the model
 that is broadcast.  Prediction reads whole texts.
@@ -103,8 +103,23 @@ class Tree:
     cost: list[np.ndarray]      # code length of the last byte, per seen string
     contexts: np.ndarray        # seen contexts of 3 bytes
     escape3: np.ndarray         # escape per seen context
-    escape2: np.ndarray         # escape per context of 2 bytes
-    cost1: np.ndarray           # code length per string of 2 bytes
+    contexts2: np.ndarray       # seen contexts of 2 bytes
+    escape2: np.ndarray         # escape per seen context
+    pairs: np.ndarray           # seen strings of 2 bytes
+    cost1: np.ndarray           # code length of the last byte, per seen string
+    escape1: np.ndarray         # escape per byte
+    cost0: np.ndarray           # code length per byte
+
+    def short(self, grams: np.ndarray) -> np.ndarray:
+        """Bits of each 3-byte string's last byte where the string itself is new."""
+        place, known = _find(self.contexts2, grams >> np.uint32(8))
+        out = np.zeros(len(grams), np.float32)
+        out[known] = self.escape2[place[known]]
+        pairs = grams & np.uint32(0xFFFF)
+        lower = (self.escape1[pairs >> np.uint32(8)] + self.cost0[pairs & np.uint32(0xFF)]).astype(np.float32)
+        place, known = _find(self.pairs, pairs)
+        lower[known] = self.cost1[place[known]]
+        return out + lower
 
     def costs(self, grams: np.ndarray) -> np.ndarray:
         """Bits of each string's last byte after its first three."""
@@ -114,7 +129,7 @@ class Tree:
         new = grams[~known]
         if len(new):
             short = new & np.uint32(0xFFFFFF)
-            lower = self.escape2[short >> np.uint32(8)] + self.cost1[short & np.uint32(0xFFFF)]
+            lower = self.short(short)
             place, there = _find(self.grams[0], short)
             lower[there] = self.cost[0][place[there]]
             place, there = _find(self.contexts, new >> np.uint32(8))
@@ -167,13 +182,12 @@ def _tree(grams: np.ndarray, n: np.ndarray) -> Tree:
     full2 = np.zeros(1 << 16)
     full2[g2] = c2
     _, _, cost0 = _level(every, np.bincount(g2 & np.uint32(0xFF), c2, 256), 8.0)
-    _, _, cost1 = _level(pairs, full2, cost0[pairs & np.uint32(0xFF)])
+    _, escape1, cost1 = _level(pairs, full2, cost0[pairs & np.uint32(0xFF)])
     x2, e2, cost2 = _level(g3, c3, cost1[g3 & np.uint32(0xFFFF)])
-    escape2 = np.zeros(1 << 16)
-    escape2[x2] = e2
     x3, e3, cost3 = _level(g4, c4, cost2[np.searchsorted(g3, g4 & np.uint32(0xFFFFFF))])
     f = np.float32
-    return Tree([g3, g4], [cost2.astype(f), cost3.astype(f)], x3, e3.astype(f), escape2.astype(f), cost1.astype(f))
+    return Tree([g3, g4], [cost2.astype(f), cost3.astype(f)], x3, e3.astype(f), x2, e2.astype(f), g2, cost1[g2].astype(f),
+                escape1, cost0)
 
 
 def build(langs: list[str], grams: np.ndarray, lang_of: np.ndarray, n: np.ndarray) -> Model:
@@ -191,23 +205,21 @@ def learn(docs: DataFrame, folds: int = 5, sample_docs: int = SAMPLE_DOCS) -> Mo
                       F.col("text").cast("string").alias("text"))
     own = own.where(F.col("doc_id").isNotNull() & F.col("lang").isNotNull() & ~held_out(F.col("doc_id"), folds)
                     & F.col("text").isNotNull())
-    # One row per language.
-    sizes = {r["lang"]: r["n"] for r in own.groupBy("lang").agg(F.count(F.lit(1)).alias("n")).collect()}
-    if not sizes:
-        return None
     slots = 1 << 30
-    share = F.lit(0)
-    for lang, n in sizes.items():
-        share = F.when(F.col("lang") == lang, F.lit(min(slots, slots * sample_docs // n))).otherwise(share)
-    sample = own.where(F.pmod(F.xxhash64("doc_id"), F.lit(slots)) < share)
+    # One row per language: its share of the hash range.
+    sizes = own.groupBy(F.col("lang").alias("l")).agg(F.count(F.lit(1)).alias("n")).select(
+        "l", F.least(F.lit(slots), F.floor(F.lit(slots * sample_docs) / F.col("n"))).cast("long").alias("share"))
+    spot = F.pmod(F.xxhash64("doc_id", "text"), F.lit(slots))
+    sample = own.join(sizes, F.col("lang") == F.col("l")).where(spot < F.col("share"))
     counts = (sample.select("lang", "text").mapInArrow(_count, "lang string, gram long, n long")
               .groupBy("lang", "gram").agg(F.sum("n").alias("n")))
     table = counts.toArrow()
-    langs = sorted(sizes)
     if table.num_rows == 0:
         return None
     named = table.column("lang").combine_chunks().dictionary_encode()
-    lang_of = np.array([langs.index(v) for v in named.dictionary.to_pylist()])[named.indices.to_numpy()]
+    langs = sorted(named.dictionary.to_pylist())
+    place = {lang: k for k, lang in enumerate(langs)}
+    lang_of = np.array([place[v] for v in named.dictionary.to_pylist()])[named.indices.to_numpy()]
     return build(langs, table.column("gram").to_numpy(), lang_of, table.column("n").to_numpy())
 
 
@@ -266,5 +278,6 @@ def keep_identified(docs: DataFrame, model: Model | None, least_score: float = 0
             columns = [langs.cast(rb.schema.field(k).type) if c == "lang" else rb.column(k) for k, c in enumerate(names)]
             yield pa.RecordBatch.from_arrays(columns, names=names).filter(pa.array(keep, pa.bool_()))
 
-    letters = F.coalesce(F.col("text").cast("string").rlike(r"\p{L}"), F.lit(False)).alias("_letters")
+    # The last column, read by its place: its name may be that of another one.
+    letters = F.coalesce(F.col("text").cast("string").rlike(r"\p{L}"), F.lit(False)).alias(max(names, key=len) + "_letters")
     return docs.select(*names, letters).mapInArrow(run, docs.schema)

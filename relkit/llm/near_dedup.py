@@ -279,12 +279,12 @@ def drop_near_duplicates(docs: DataFrame, num: int = 80, den: int = 100) -> Data
     keys = [F.col(k).alias(f"p_{k}") for k in ("doc_id", "t1", "t2")]
     dropped = found.where(~F.col("first")).select(*keys).distinct()
     again = (found.where("first").groupBy("doc_id", "t1", "t2").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select(*keys))
+    # The row travels as one struct, so that its names meet no others.
     t1, t2 = text_keys()
-    rows = docs.select(*names, t1.alias("_t1"), t2.alias("_t2"))
-    same = (F.col("doc_id").cast("long").eqNullSafe(F.col("p_doc_id")) & (F.col("_t1") == F.col("p_t1"))
-            & (F.col("_t2") == F.col("p_t2")))
-    single = rows.join(dropped.unionByName(again), same, "left_anti").select(*names)
+    rows = docs.select(F.struct(*names).alias("row"), F.col("doc_id").cast("long").alias("id"), t1, t2)
+    same = F.col("id").eqNullSafe(F.col("p_doc_id")) & (F.col("t1") == F.col("p_t1")) & (F.col("t2") == F.col("p_t2"))
+    single = rows.join(dropped.unionByName(again), same, "left_anti").select("row.*")
     if again.isEmpty():
         return single
     # Rows of one id and text: one of them is left.
-    return single.unionByName(rows.join(again, same, "left_semi").dropDuplicates(["doc_id", "_t1", "_t2"]).select(*names))
+    return single.unionByName(rows.join(again, same, "left_semi").dropDuplicates(["id", "t1", "t2"]).select("row.*"))
