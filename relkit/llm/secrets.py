@@ -57,8 +57,42 @@ _SPANS = "array<struct<start:int,kind:int,end:int>>"
 _TOKENS = "array<struct<start:int,end:int,token:string>>"
 
 
+#: Arrays that grow step by step do so in blocks of this size, as every step copies what it has.
+_BLOCK = 64
+
+
+def _let(value: Column, body) -> Column:
+    """``body`` of one value that is computed once."""
+    return F.transform(F.array(value), body)[0]
+
+
+def _blocks(values: Column) -> Column:
+    """An array cut into arrays of ``_BLOCK`` (one empty array for an empty one)."""
+    def cut(v: Column) -> Column:
+        last = F.greatest(F.ceil(F.size(v) / _BLOCK).cast("int") - 1, F.lit(0))
+        # By places: a slice would copy the whole array.
+        own = lambda i: F.transform(F.sequence(i * _BLOCK, F.least((i + 1) * _BLOCK, F.size(v)) - 1), lambda j: F.get(v, j))
+        return F.when(F.size(v) == 0, F.array(v)).otherwise(F.transform(F.sequence(F.lit(0), last), own))
+
+    return _let(values, cut)
+
+
+def _sums_before(values: Column) -> Column:
+    """For each value of an array the sum of those before it, by blocks of blocks."""
+    def within(block: Column, first: Column) -> Column:
+        start = F.struct(first.alias("at"), F.array().cast("array<int>").alias("out"))
+        return F.aggregate(block, start, lambda s, x: F.struct((s["at"] + x).alias("at"), F.concat(s["out"], F.array(s["at"])).alias("out")),
+                           lambda s: s["out"])
+
+    def of(blocks: Column) -> Column:
+        totals = F.transform(blocks, lambda b: F.aggregate(b, F.lit(0), lambda acc, x: acc + x))
+        return _let(within(totals, F.lit(0)), lambda firsts: F.flatten(F.zip_with(blocks, firsts, within)))
+
+    return _let(_blocks(values), of)
+
+
 def _matches(text: Column, pattern: str, kind: int, long_enough=None) -> Column:
-    """Spans of all matches, from the lengths of the matches and of the text between them.
+    """Spans of all matches, from the lengths of the matches and of the text between them; kind 3 with their text.
 
     ``long_enough``: least length of group 1 for a match to count.
     """
@@ -66,19 +100,22 @@ def _matches(text: Column, pattern: str, kind: int, long_enough=None) -> Column:
     gaps = F.split(text, pattern, -1)
     value = F.regexp_extract_all(text, F.lit(pattern), F.lit(1)) if long_enough else found
     parts = F.arrays_zip(F.transform(F.slice(gaps, F.lit(1), F.size(found)), F.length).alias("gap"),
-                         F.transform(found, F.length).alias("len"), F.transform(value, F.length).alias("value"))
-    start = F.struct(F.lit(0).alias("at"), F.array().cast(_SPANS).alias("out"))
+                         found.alias("match"), value.alias("value"))
+    places = lambda p: F.zip_with(p, _sums_before(F.transform(p, lambda x: x["gap"] + F.length(x["match"]))), span)
 
-    def step(state: Column, part: Column) -> Column:
-        first = state["at"] + part["gap"]
-        last = first + part["len"]
-        span = F.struct(first.alias("start"), F.lit(kind).alias("kind"), last.alias("end"))
-        keep = F.concat(state["out"], F.array(span))
-        out = F.when(part["value"] >= long_enough, keep).otherwise(state["out"]) if long_enough else keep
-        return F.struct(last.alias("at"), out.cast(_SPANS).alias("out"))
+    def span(part: Column, before: Column) -> Column:
+        start = before + part["gap"]
+        end = start + F.length(part["match"])
+        if kind == 3:
+            return F.struct(start.alias("start"), end.alias("end"), part["match"].alias("token"))
+        keep = F.length(part["value"]) >= (long_enough or 0)
+        return F.struct(start.alias("start"), F.when(keep, kind).cast("int").alias("kind"), end.alias("end"))
 
-    spans = F.aggregate(parts, start, step, lambda s: s["out"])
-    return F.when(text.rlike(pattern), spans).otherwise(F.array().cast(_SPANS))
+    spans = _let(parts, places)
+    if long_enough:
+        spans = F.filter(spans, lambda s: s["kind"].isNotNull())
+    schema = _TOKENS if kind == 3 else _SPANS
+    return F.when(text.rlike(pattern), spans.cast(schema)).otherwise(F.array().cast(schema))
 
 
 def base_spans(text: Column) -> Column:
@@ -110,11 +147,6 @@ def _normal_cdf(z: Column) -> Column:
     return F.when(z < 0, tail).otherwise(1 - tail)
 
 
-def _let(value: Column, body) -> Column:
-    """``body`` of one value that is computed once."""
-    return F.transform(F.array(value), body)[0]
-
-
 def battery(token: Column) -> Column:
     """struct(n, p_text, z_runs, z_serial) of a token that has an encoding.
 
@@ -155,8 +187,8 @@ def battery(token: Column) -> Column:
                         ((changes - (n - 1) / 2) / F.sqrt((n - 1) / 4)).alias("z_runs"), z_serial.alias("z_serial"))
 
     def measured(e: Column) -> Column:
-        place = lambda i: F.call_function("locate", F.call_function("substr", e["t"], i, F.lit(1)), e["a"]).cast("double") - 1
-        return _let(F.transform(F.sequence(F.lit(1), F.length(e["t"])), place), lambda v: _let(
+        place = lambda c: F.call_function("locate", c, e["a"]).cast("double") - 1
+        return _let(F.transform(F.split(e["t"], ""), place), lambda v: _let(
             F.struct((total(v, lambda x: x) / F.size(v)).alias("mean"), runs(v).alias("squares")),
             lambda m: tests(e, v, m)))
 
@@ -183,16 +215,29 @@ def discovery_bin(histogram: dict[int, int], tested: int, level: float = FALSE_D
     return least
 
 
+def _apart(tokens: Column, base: Column) -> Column:
+    """The tokens that touch no base span; both are in order of their starts."""
+    def reach(block: Column) -> Column:
+        return F.struct(F.get(block, F.lit(0))["start"].alias("start"), F.array_max(F.transform(block, lambda s: s["end"])).alias("end"),
+                        block.alias("spans"))
+
+    meets = lambda x, y: (x["start"] < y["end"]) & (y["start"] < x["end"])
+
+    def per(held: Column) -> Column:
+        def left(block: Column) -> Column:
+            near = lambda r: F.flatten(F.transform(F.filter(held, lambda h: meets(h, r)), lambda h: h["spans"]))
+            return _let(near(reach(block)), lambda spans: F.filter(block, lambda t: ~F.exists(spans, lambda b: meets(b, t))))
+        return F.flatten(F.transform(_blocks(tokens), left))
+
+    return F.when(F.size(base) == 0, tokens).otherwise(_let(F.transform(_blocks(base), reach), per))
+
+
 def _found(docs: DataFrame, keep: list) -> DataFrame:
     """``keep`` with ``base`` (spans) and ``tokens``: those with an encoding that touch no base span, tested."""
     rows = docs.select(*keep, text_or_empty().alias("_text"))
     text = F.col("_text")
     rows = rows.withColumn("base", base_spans(text)).withColumn("_all", _matches(text, TOKEN, 3))
-    spelled = F.transform("_all", lambda s: F.struct(
-        s["start"].alias("start"), s["end"].alias("end"),
-        F.call_function("substr", text, s["start"] + 1, s["end"] - s["start"]).alias("token")))
-    free = F.filter(spelled, lambda t: encoding_of(t["token"]).isNotNull() & ~F.exists(
-        "base", lambda b: (b["start"] < t["end"]) & (t["start"] < b["end"])))
+    free = _apart(F.filter("_all", lambda t: encoding_of(t["token"]).isNotNull()), F.col("base"))
     tested = F.transform(free, lambda t: F.struct(t["start"].alias("start"), t["end"].alias("end"),
                                                   battery(t["token"]).alias("stats")))
     return rows.withColumn("tokens", F.when(F.size("_all") > 0, tested)).drop("_all")
@@ -233,15 +278,27 @@ def redact_secrets(docs: DataFrame, mark: str = "[SECRET]") -> DataFrame:
     threshold = _threshold(stored(found.select("tokens"), "secret-tokens"))
     text = F.col("_text")
 
+    # Spans that overlap count as one; the text between two blocks of spans is cut out once, and within it each gap.
     def step(state: Column, span: Column) -> Column:
         fresh = span["start"] >= state["at"]
-        kept = F.call_function("substr", text, state["at"] + 1, span["start"] - state["at"])
-        out = F.when(fresh, F.concat(state["out"], kept, F.lit(mark))).otherwise(state["out"])
-        return F.struct(F.greatest(state["at"], span["end"]).alias("at"), out.alias("out"))
-
-    rest = lambda s: F.concat(s["out"], F.call_function("substr", text, s["at"] + 1, F.length(text)))
-    start = F.struct(F.lit(0).alias("at"), F.lit("").alias("out"))
-    clean = F.aggregate("spans", start, step, rest)
+        kept = F.call_function("substr", state["text"], state["at"] - state["off"] + 1, span["start"] - state["at"])
+        out = F.when(fresh, F.concat(state["out"], F.array(kept, F.lit(mark)))).otherwise(state["out"])
+        return F.struct(F.greatest(state["at"], span["end"]).alias("at"), state["off"].alias("off"), state["text"].alias("text"), out.alias("out"))
+
+    def cleaned(block: Column, before: Column) -> Column:
+        """The clean text from the end of the spans before the block to the end of its own."""
+        stop = F.array_max(F.transform(block, lambda s: s["end"]))
+        own = F.call_function("substr", text, before + 1, F.greatest(stop, before) - before)
+        start = F.struct(before.alias("at"), before.alias("off"), own.alias("text"), F.array().cast("array<string>").alias("out"))
+        return F.array_join(F.aggregate(block, start, step, lambda s: s["out"]), "")
+
+    def joined(blocks: Column) -> Column:
+        ends = F.transform(blocks, lambda b: F.array_max(F.transform(b, lambda s: s["end"])))
+        furthest = F.transform(blocks, lambda b, i: F.array_max(F.concat(F.array(F.lit(0)), F.slice(ends, F.lit(1), i))))
+        body = F.zip_with(blocks, furthest, cleaned)
+        return F.concat(F.array_join(body, ""), F.call_function("substr", text, F.array_max(ends) + 1, F.length(text)))
+
+    clean = _let(_blocks(F.col("spans")), joined)
     out = found.withColumn("spans", _spans(threshold)).withColumn(
         "_clean", F.when(F.size("spans") > 0, clean).otherwise(F.col("_row.text")))
     return out.select(*(F.col("_clean").alias(c) if c == "text" else F.col("_row")[c].alias(c) for c in names))
