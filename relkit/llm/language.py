@@ -33,6 +33,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ..operators.joins import broadcast_if_bounded
 from .util import batch, prepare, text_or_empty
 
 ORDER = 3
@@ -206,11 +207,13 @@ def learn(docs: DataFrame, folds: int = 5, sample_docs: int = SAMPLE_DOCS) -> Mo
     own = own.where(F.col("doc_id").isNotNull() & F.col("lang").isNotNull() & ~held_out(F.col("doc_id"), folds)
                     & F.col("text").isNotNull())
     slots = 1 << 30
-    # One row per language: its share of the hash range.
-    sizes = own.groupBy(F.col("lang").alias("l")).agg(F.count(F.lit(1)).alias("n")).select(
+    # One row of two numbers per language: its share of the hash range.  Texts are not shuffled for it, unless there
+    # are more languages than a table of 16 MB holds.
+    own = own.withColumn("h", F.xxhash64("lang"))
+    sizes = own.groupBy(F.col("h").alias("l")).agg(F.count(F.lit(1)).alias("n")).select(
         "l", F.least(F.lit(slots), F.floor(F.lit(slots * sample_docs) / F.col("n"))).cast("long").alias("share"))
     spot = F.pmod(F.xxhash64("doc_id", "text"), F.lit(slots))
-    sample = own.join(sizes, F.col("lang") == F.col("l")).where(spot < F.col("share"))
+    sample = own.join(broadcast_if_bounded(sizes, 1_000_000), F.col("h") == F.col("l")).where(spot < F.col("share"))
     counts = (sample.select("lang", "text").mapInArrow(_count, "lang string, gram long, n long")
               .groupBy("lang", "gram").agg(F.sum("n").alias("n")))
     table = counts.toArrow()
