@@ -4,15 +4,19 @@ A page is read once into its leaf blocks: runs of text between block-level
 tags, each with its tag path (the open elements with their class and id words)
 and its words.  A bidirectional LSTM written in numpy reads the blocks of the
 whole document in both directions, each as a hashed tag path, hashed words and
-a few measures (length, share of linked text, punctuation), and labels every
-block as main text or not.  The main text is the chosen blocks in page order.
+a few measures (length, shares of linked text, of digits, of words that pages use
+around text, of blocks with the same path, punctuation), and labels every block as
+main text or not.  The main text is the chosen blocks in page order.
 
 There are no labelled pages, so it learns from a bounded sample of
 ``SAMPLE_PAGES`` whole pages under weak labels: a block inside an article or
 main element and no boilerplate element is main text.  To learn what stands
 around text and not one site's markup, each sampled page is also set in random
-templates (menus, banners, notices, side bars, adverts, forms, comments and
-footers in many spellings) in which every block's label is known.
+templates in which every block's label is known: main text in containers of any
+name or none, as paragraphs, lists, tables, definitions, quotes and code, long or
+short, in the page's words or invented ones; around it menus, banners, notices,
+side bars, adverts, forms, comments and footers in many spellings, or in
+containers that do not tell, where links and set phrases do.
 
 Defined cases: NULL or empty html, or html without text, gives the empty text;
 unclosed and stray tags are closed as browsers do (a block ends an open svg or
@@ -29,8 +33,10 @@ from __future__ import annotations
 import html as entities
 import re
 import zlib
+from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass
+from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
@@ -40,8 +46,10 @@ from pyspark.sql import functions as F
 from .util import batch, prepare
 
 SAMPLE_PAGES = 300
-PATH_BITS, WORD_BINS, MEASURES = 256, 32, 8
-HIDDEN = 16
+SETTINGS = 2400
+PATH_BITS, WORD_BINS, MEASURES = 2048, 32, 11
+HIDDEN = 24
+DECAY = 0.5
 
 # HTML element kinds.
 #: Elements whose content is raw text that shows nothing, and other elements whose content does not show.
@@ -71,6 +79,17 @@ _AROUND = frozenset("""nav header footer aside form menu ad ads advert advertise
     consent notice sidebar comment comments respond share social related newsletter subscribe breadcrumb login search
     button dialog""".split())
 
+# Words of the set phrases that pages use around their text.
+_CUES = frozenset("""accept account advertisement ago agree all anonymous archive archives basket cart categories click close
+    comment comments consent contact cookie cookies copyright decline disclaimer download email facebook faq feed follow
+    google guest help home imprint instagram legal like linkedin log login logout menu more newsletter next notifications
+    partners password pinterest policy popular powered preferences previous print privacy promoted read recent
+    register related reply replies reserved rights rss save search settings share shop sign sitemap skip sponsored
+    submit subscribe subscription tags terms trending tweet twitter upvote username view vote whatsapp youtube
+    datenschutz impressum kontakt startseite suche anmelden abonnieren kommentare antworten weiterlesen werbung
+    accueil rechercher connexion confidentialité abonner commentaires répondre publicité partager
+    inicio buscar acceder privacidad suscribirse comentarios responder publicidad compartir""".split())
+
 # A quote opens a value only directly after ``=``; the loop over attributes never goes back.
 _TOKEN = re.compile(
     r"<!--(?:-?>|.*?(?:--!?>|\Z))|<(?P<end>/?)(?P<tag>[a-zA-Z][^\s/>]*+)"
@@ -79,16 +98,21 @@ _TOKEN = re.compile(
 _RAW_END = {tag: re.compile(rf"</{tag}(?=[\s/>])[^>]*>", re.I) for tag in sorted(_RAW)}
 _NAMES = re.compile(r"\b(?:class|id|role)\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s>]+))", re.I)
 _WORDS = re.compile(r"[a-z]+")
+_DIGITS = re.compile(r"[0-9\u00a9]")
+_LETTERS = re.compile(r"[^\W\d_]+")
 
 
-def _bit(token: str) -> int:
-    return 1 << (zlib.crc32(token.encode()) % PATH_BITS)
+@lru_cache(maxsize=100_000)
+def _bits(token: str) -> int:
+    """Three bits, so that a name that shares one with another is not taken for it."""
+    value = zlib.crc32(token.encode())
+    return 1 << value % PATH_BITS | 1 << (value >> 10) % PATH_BITS | 1 << (value >> 21) % PATH_BITS
 
 
 @dataclass
 class Block:
     text: str
-    path: int       # hashed tag path, one bit per token
+    path: int       # hashed tag path, three bits per token
     linked: int     # characters inside links
     names: frozenset  # words of the open elements, for the weak labels
 
@@ -176,9 +200,9 @@ def blocks_of(page: str) -> list[Block]:
         for quoted in _NAMES.findall(m["attrs"]):
             names.update(_WORDS.findall("".join(quoted).lower()))
         above = stack[-1]
-        bits = above[1] | _bit(above[0] + ">" + tag)
+        bits = above[1] | _bits(above[0] + ">" + tag)
         for name in names:
-            bits |= _bit(name)
+            bits |= _bits(name)
         hidden = above[4] or tag in _HIDDEN or tag in _RAW
         stack.append((tag, bits, above[2] or tag == "a", above[3] | names, hidden, foreign and tag not in _POINTS))
     flush()
@@ -209,11 +233,14 @@ def measures(blocks: list[Block]) -> np.ndarray:
     at = np.repeat(np.arange(len(blocks)) * WORD_BINS, sizes) + bins
     counts = np.bincount(at, minlength=len(blocks) * WORD_BINS).reshape(-1, WORD_BINS)
     n = np.array([len(b.text) for b in blocks])
+    cues = [len(b.text) < 400 and sum(w in _CUES for w in _LETTERS.findall(b.text.lower())) for b in blocks]
+    alike = Counter(b.path for b in blocks)
     return np.column_stack([
         np.sqrt(counts / np.maximum(1, sizes)[:, None]), np.log1p(n) / 8, np.log1p(sizes) / 6,
         np.minimum(1, np.array([b.linked for b in blocks]) / n), [b.text[-1] in ".!?:;" for b in blocks],
         np.minimum(1, np.array([b.text.count(",") for b in blocks]) * 20 / n), [b.text[0].isupper() for b in blocks],
-        np.arange(len(blocks)) / max(1, len(blocks) - 1), np.ones(len(blocks))]).astype(np.float32)
+        np.minimum(1, 2 * np.array(cues) / np.maximum(1, sizes)), np.minimum(1, np.array([len(_DIGITS.findall(b.text)) for b in blocks]) * 4 / n),
+        np.array([alike[b.path] for b in blocks]) / max(1, len(blocks)), np.arange(len(blocks)) / max(1, len(blocks) - 1), np.ones(len(blocks))]).astype(np.float32)
 
 
 def path_vector(bits: int) -> np.ndarray:
@@ -233,7 +260,9 @@ class Labeller:
         self.p: dict[str, np.ndarray] = {}
         for d in "fb":
             for name, rows in (("wp", PATH_BITS), ("wx", WORD_BINS + MEASURES), ("wh", HIDDEN)):
-                self.p[d + name] = (rng.standard_normal((rows, 4 * HIDDEN)) * 0.15).astype(np.float32)
+                # A name that no page has shown adds nothing.
+                spread = 0 if name == "wp" else 0.15
+                self.p[d + name] = (rng.standard_normal((rows, 4 * HIDDEN)) * spread).astype(np.float32)
             self.p[d + "b"] = np.repeat(np.array([0, 1, 0, 0], np.float32), HIDDEN)
         self.p["o"] = (rng.standard_normal((2 * HIDDEN + 1, 1)) * 0.15).astype(np.float32)
 
@@ -272,7 +301,7 @@ class Labeller:
             score = _sigmoid(np.concatenate([*sides, np.ones(mask.shape + (1,), np.float32)], axis=2) @ self.p["o"])[:, :, 0]
             for j, k in enumerate(own):
                 out[k] = score[:len(pages[k]), j]
-            if len(known) > 20_000:
+            if len(known) > 8_000:
                 known.clear()
         return out
 
@@ -289,7 +318,7 @@ class Labeller:
             mask[:len(page), j] = 1
         return x, path, mask
 
-    def fit(self, pages: list[list[Block]], labels: list[np.ndarray], rounds: int = 6, rate: float = 0.01) -> None:
+    def fit(self, pages: list[list[Block]], labels: list[np.ndarray], rounds: int = 10, rate: float = 0.01) -> None:
         """Minimise the log loss over all blocks by Adam with backpropagation through time."""
         rng = np.random.default_rng(11)
         mean = {k: np.zeros_like(v) for k, v in self.p.items()}
@@ -299,15 +328,18 @@ class Labeller:
         order = sorted(rng.permutation(len(pages)), key=lambda k: len(pages[k]))
         groups = [self._case([pages[k] for k in own], [labels[k] for k in own])
                   for own in (order[at:at + 32] for at in range(0, len(order), 32))]
-        for _ in range(rounds):
+        for done in range(rounds):
+            slower = rate * (1 - 0.9 * done / rounds)
             for at in rng.permutation(len(groups)):
                 step += 1
                 grads = self._gradients(*groups[at])
                 for k, g in grads.items():
                     mean[k] = 0.9 * mean[k] + 0.1 * g
                     square[k] = 0.999 * square[k] + 0.001 * g * g
-                    self.p[k] = (self.p[k] - rate * (mean[k] / (1 - 0.9 ** step))
+                    self.p[k] = (self.p[k] - slower * (mean[k] / (1 - 0.9 ** step))
                                  / (np.sqrt(square[k] / (1 - 0.999 ** step)) + 1e-8)).astype(np.float32)
+                    if k.endswith("wp"):
+                        self.p[k] *= 1 - DECAY * slower
 
     def _case(self, pages: list[list[Block]], labels: list[np.ndarray]) -> tuple:
         """Inputs and labels of pages side by side."""
@@ -316,10 +348,10 @@ class Labeller:
         y = np.zeros(mask.shape, np.float32)
         for j, label in enumerate(labels):
             y[:len(label), j] = label
-        return x, path, mask, np.stack([path_vector(b) for b in known]), y
+        return x, path, mask, np.stack([path_vector(b) for b in known]).astype(np.uint8), y
 
     def _gradients(self, x: np.ndarray, path: np.ndarray, mask: np.ndarray, table: np.ndarray, y: np.ndarray) -> dict[str, np.ndarray]:
-        sides, traces = [], []
+        sides, traces, table = [], [], table.astype(np.float32)
         for d in "fb":
             traces.append([])
             z = x @ self.p[d + "wx"] + (table @ self.p[d + "wp"])[path] + self.p[d + "b"]
@@ -352,19 +384,38 @@ class Labeller:
 # How sites spell the containers of main text and of what stands around it.
 _HOLDERS = ('<article>', '<main>', '<div class="article-body">', '<div class="post-content">', '<div id="content">',
             '<section class="entry">', '<div role="main">', '<main><article>')
-_TEXT_TAGS = ("h2", "h3", "h4", "li", "blockquote", "pre", "td", "dd", "div", "section", "figcaption")
 _FRAMES = {
-    "menu": ('<nav>', '<div class="menu">', '<ul class="nav">', '<div id="navigation">', '<header><nav>'),
-    "header": ('<header>', '<div id="header">', '<div class="site-header">', '<div class="banner">'),
-    "footer": ('<footer>', '<div id="footer">', '<div class="footer">', '<div class="site-footer">'),
-    "aside": ('<aside>', '<div class="sidebar">', '<div id="sidebar">', '<div class="related">', '<aside class="widget">'),
+    "menu": ('<nav>', '<div class="menu">', '<ul class="nav">', '<div id="navigation">', '<header><nav>', '<div class="breadcrumb">',
+             '<ul class="navbar">', '<div class="toolbar">', '<div class="tabs">'),
+    "header": ('<header>', '<div id="header">', '<div class="site-header">', '<div class="banner">', '<div class="masthead">',
+               '<div id="top">'),
+    "footer": ('<footer>', '<div id="footer">', '<div class="footer">', '<div class="site-footer">', '<div class="bottom">',
+               '<div class="copyright">', '<div class="legal">'),
+    "aside": ('<aside>', '<div class="sidebar">', '<div id="sidebar">', '<div class="related">', '<aside class="widget">',
+              '<div class="widget">', '<div class="recommended">', '<div class="teaser">', '<div class="share">', '<div class="social">'),
     "notice": ('<div class="cookie-notice">', '<div id="cookie-banner">', '<div class="notice">', '<div class="consent">',
-               '<div role="dialog">'),
+               '<div role="dialog">', '<dialog>', '<div class="popup">', '<div class="modal">', '<div role="alert">'),
     "ad": ('<div class="ad">', '<div class="ads">', '<div class="advert">', '<div class="sponsored">', '<aside class="ad">',
-           '<section class="promo">', '<div class="advertisement">'),
-    "form": ('<form>', '<form class="newsletter">', '<div class="subscribe"><form>', '<form id="search">'),
-    "comments": ('<section class="comments">', '<div id="comments">', '<ol class="comment-list">', '<div class="comment">'),
+           '<section class="promo">', '<div class="advertisement">', '<div class="promotion">'),
+    "form": ('<form>', '<form class="newsletter">', '<div class="subscribe"><form>', '<form id="search">', '<div class="login">'),
+    "comments": ('<section class="comments">', '<div id="comments">', '<ol class="comment-list">', '<div class="comment">',
+                 '<div class="replies">', '<div id="respond">', '<section class="discussion">'),
+}
+#: Set phrases that tell what a block is where its container does not.
+_PHRASES = {
+    "menu": ("Home", "About us", "Contact", "Log in", "Sign up", "Help", "Shop", "Archive", "News", "Next page", "Previous page"),
+    "header": ("Skip to content", "Menu", "Sign in or register", "Search this site", "Follow us on Facebook and Twitter"),
+    "footer": ("\u00a9 2021 Example Ltd. All rights reserved.", "Privacy policy", "Terms of use", "Copyright 2019", "Sitemap",
+               "Powered by Example", "Contact us by email", "Legal disclaimer and privacy settings"),
+    "aside": ("Related stories", "Most popular", "Read more", "Recent posts", "Share this on Facebook", "Tags and categories",
+              "Trending now", "View all", "Follow us on Instagram"),
+    "notice": ("This site uses cookies. Accept all or change your settings.", "We and our partners use cookies; read the privacy policy.",
+               "Accept all cookies", "Turn on notifications?", "I agree"),
+    "ad": ("Advertisement", "Sponsored", "Promoted: click here and save 20 % in our shop", "Sponsored by our partners"),
+    "form": ("Subscribe to our newsletter", "Your email", "Password", "Username", "Submit", "Search", "Log in to your account"),
+    "comments": ("3 comments", "Reply", "Like this comment", "2 days ago", "Log in to reply", "Anonymous, 5 hours ago", "View 12 replies"),
 }
+_SYLLABLES = "ba ce di fo gu ha je ki lo mu na pe ri so tu va we xi yo za bar del fin gor hul kan lem mis nor pux".split()
 
 
 def _closed(opening: str) -> str:
@@ -374,38 +425,94 @@ def _closed(opening: str) -> str:
 def _variant(rng: np.random.Generator, main: list[str], others: list[str]) -> tuple[list[Block], np.ndarray]:
     """A page in a random template, and the label of each of its blocks."""
     pick = lambda seq: seq[rng.integers(len(seq))]
-    mark = ""  # stands before main text so that its blocks are known
+    mark = "\ue000"  # stands before main text so that its blocks are known
+    word = lambda: "".join(pick(_SYLLABLES) for _ in range(rng.integers(1, 4)))
+    invented = rng.random() < 0.5
+
+    def plain(text: str) -> str:
+        """``text``, in invented words if the page has them."""
+        return entities.escape(re.sub(r"[^\W\d_]+", lambda m: word().capitalize() if m[0][0].isupper() else word(), text)
+                               if invented else text)
+
+    def number() -> str:
+        return f"{rng.integers(1, 2000)}" + pick(("", "", ".5", " km", " %", " = x"))
+
+    def linked(text: str) -> str:
+        """``text``, sometimes with a link on a few of its words."""
+        if rng.random() < 0.85:
+            return text
+        words = text.split()
+        at = rng.integers(len(words) + 1)
+        end = at + rng.integers(1, 7)
+        return " ".join([*words[:at], '<a href="/">', *words[at:end], "</a>", *words[end:]])
+
+    def neutral() -> str:
+        """Containers whose names tell nothing, or without names."""
+        out = ""
+        for _ in range(rng.integers(1, 4)):
+            tag = pick(("div", "div", "div", "section", "table><tr><td"))
+            name = pick(("", "", f' class="{word()}"', f' id="{word()}"', f' class="{word()}-{word()}"'))
+            out += f"<{tag}{name}>"
+        return out
 
     def around(kind: str) -> str:
-        frame = pick(_FRAMES[kind])
-        words = pick(others).split() or ["x"]
+        named = rng.random() < 0.65
+        frame = pick(_FRAMES[kind]) if named else neutral()
+        if named and rng.random() < 0.3:
+            frame = neutral() + frame
         if kind == "menu":
-            inner = "".join(f'<li><a href="/">{entities.escape(w)}</a></li>' for w in words[:rng.integers(2, 9)])
-        elif kind == "form":
-            inner = f"<label>{entities.escape(' '.join(words[:3]))}</label><button>{entities.escape(words[0])}</button>"
+            items = [pick(_PHRASES[kind]) if rng.random() < 0.4 else word() if invented else pick(pick(others).split() or ["x"])
+                     for _ in range(rng.integers(2, 9))]
+            inner = "".join(f'<li><a href="/">{entities.escape(w)}</a></li>' for w in items)
+            inner = inner if rng.random() < 0.7 else re.sub("</?li>", " ", inner)
         else:
-            inner = "".join(f"<p>{entities.escape(pick(others))}</p>" for _ in range(rng.integers(1, 4)))
-            inner = inner if rng.random() < 0.6 else re.sub("</?p>", " ", inner)
+            items = [pick(_PHRASES[kind]) if not named or rng.random() < 0.4 else None for _ in range(rng.integers(1, 4))]
+            tag = pick(("p", "p", "div", "li", "span"))
+            inner = "".join(f"<{tag}>{plain(pick(others)) if w is None else entities.escape(w)}</{tag}>" for w in items)
+            if kind == "form":
+                inner = f"<label>{inner}</label><button>{pick(_PHRASES[kind])}</button>"
+            elif kind in ("footer", "aside") and rng.random() < 0.5:
+                inner += "".join(f'<li><a href="/">{plain(" ".join(pick(others).split()[:8])) or "x"}</a></li>' for _ in range(rng.integers(1, 6)))
         return frame + inner + _closed(frame)
 
-    holder = pick(_HOLDERS)
-    tags = [str(pick(("h1", "h1", "h2", "h3")))] * (rng.random() < 0.8) + ["p" if rng.random() < 0.85 else str(pick(_TEXT_TAGS)) for _ in main]
-    body = [f"<{t}>{mark}{entities.escape(s)}</{t}>" for t, s in zip(tags, main)]
+    def body_of(texts: list[str]) -> list[str]:
+        out, at = [], 0
+        while at < len(texts):
+            kind = pick(("p",) * 10 + ("h2", "h3", "h4", "blockquote", "pre", "div", "div", "section", "figcaption", "ul", "ul", "ol", "table", "dl"))
+            own = texts[at:at + (rng.integers(1, 6) if kind in ("ul", "ol", "table", "dl") else 1)]
+            at += len(own)
+            few = kind in ("h2", "h3", "h4", "ul", "ol", "table", "dl", "figcaption") and rng.random() < 0.8 or rng.random() < 0.35
+            long = rng.random() < 0.4
+            cut = lambda t: " ".join(t.split()[:int(rng.integers(1, 5) ** 2 if few else rng.integers(8, 45))]) if few or not long else t
+            shown = [mark + (number() if few and rng.random() < 0.15 else linked(plain(cut(t)))) for t in own]
+            inner = {"ul": "li", "ol": "li", "table": "td", "dl": "dd"}.get(kind)
+            rows = "".join(f"<{inner}>{t}</{inner}>" if inner != "td" or k % 2 else f"<tr><td>{t}</td>" for k, t in enumerate(shown)) if inner else shown[0]
+            out.append(f"<{kind}>{rows}</{kind}>")
+        return out
+
+    main = main[:pick((1, 2, 3, 4, 6, 10, 40, 40))]
+    holder = pick(_HOLDERS) if rng.random() < 0.5 else neutral()
+    body = body_of(main)
+    if rng.random() < 0.7:
+        tag = pick(("h1", "h1", "h2", "h3"))
+        body.insert(0, f"<{tag}>{mark}{plain(' '.join(main[0].split()[:12]))}</{tag}>")
     for kind in ("ad", "aside", "comments", "form", "notice"):
         if rng.random() < 0.2:
             where = len(body) if kind == "comments" else rng.integers(len(body) + 1)
             body.insert(where, around(kind))
     before = [around(k) for k in ("header", "menu", "notice", "ad", "aside") if rng.random() < 0.5]
     after = [around(k) for k in ("comments", "aside", "ad", "form", "footer", "notice") if rng.random() < 0.5]
-    found = blocks_of("<html><body>" + "".join(before) + holder + "".join(body) + _closed(holder) + "".join(after) + "</body></html>")
+    whole = neutral() if rng.random() < 0.5 else ""
+    found = blocks_of("<html><body>" + whole + "".join(before) + holder + "".join(body) + _closed(holder) + "".join(after)
+                      + _closed(whole) + "</body></html>")
     labels = np.array([mark in b.text for b in found], np.float32)
     for b in found:
         b.text = b.text.replace(mark, "").strip() or "-"
     return found, labels
 
 
-def train(pages: list[str], variants: int = 3, seed: int = 5) -> Labeller | None:
-    """Fit the labeller on whole pages under weak labels and on ``variants`` template settings of each."""
+def train(pages: list[str], settings: int = SETTINGS, seed: int = 5) -> Labeller | None:
+    """Fit the labeller on whole pages under weak labels and on about ``settings`` template settings of them."""
     rng = np.random.default_rng(seed)
     held: list[tuple[list[Block], np.ndarray]] = []
     for page in pages:
@@ -414,7 +521,7 @@ def train(pages: list[str], variants: int = 3, seed: int = 5) -> Labeller | None
         held.append((found, np.array([weak_label(b.names, has_main) for b in found], np.float32)))
     others = [b.text[:300] for found, labels in held for b, y in zip(found, labels) if not y] or ["Menu"]
     mains = [[b.text for b, y in zip(found, labels) if y] for found, labels in held]
-    extra = [_variant(rng, m[:40], others) for m in mains if m for _ in range(variants)]
+    extra = [_variant(rng, m, others) for m in mains if m for _ in range(-(-settings // len(mains)))]
     cases = [(f, y) for f, y in [*held, *extra] if f]
     if not cases:
         return None
