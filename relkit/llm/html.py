@@ -47,6 +47,8 @@ from .util import batch, prepare
 
 SAMPLE_PAGES = 300
 SETTINGS = 2400
+#: Characters of a block that the settings of a page show; blocks (padding included) that are labelled side by side.
+SHOWN_CHARS, CELLS = 1000, 50_000
 PATH_BITS, WORD_BINS, MEASURES = 2048, 32, 11
 HIDDEN = 24
 DECAY = 0.5
@@ -248,6 +250,18 @@ def path_vector(bits: int) -> np.ndarray:
     return np.unpackbits(raw, bitorder="little").astype(np.float32)
 
 
+def _groups(sizes: list[int], most: int) -> Iterator[list[int]]:
+    """Places of like sizes, at most ``most`` together and ``CELLS`` blocks if all were as long as the longest."""
+    own: list[int] = []
+    for k in sorted(range(len(sizes)), key=sizes.__getitem__):
+        if own and (len(own) == most or (len(own) + 1) * sizes[k] > CELLS):
+            yield own
+            own = []
+        own.append(k)
+    if own:
+        yield own
+
+
 def _sigmoid(x: np.ndarray) -> np.ndarray:
     return 1 / (1 + np.exp(-np.clip(x, -30, 30)))
 
@@ -288,10 +302,10 @@ class Labeller:
     def chances(self, pages: list[list[Block]]) -> list[np.ndarray]:
         """For each page, each block's chance to be main text."""
         out: list[np.ndarray] = [np.zeros(0)] * len(pages)
-        order = sorted((k for k in range(len(pages)) if pages[k]), key=lambda k: len(pages[k]))
+        some = [k for k in range(len(pages)) if pages[k]]
         known: dict[int, int] = {}
-        for at in range(0, len(order), 64):
-            own = order[at:at + 64]
+        for group in _groups([len(pages[k]) for k in some], 64):
+            own = [some[k] for k in group]
             x, path, mask = self._inputs([pages[k] for k in own], known)
             table = np.stack([path_vector(b) for b in known])
             sides = []
@@ -325,9 +339,9 @@ class Labeller:
         square = {k: np.zeros_like(v) for k, v in self.p.items()}
         step = 0
         # Pages of like length go together; the groups come in random order.
-        order = sorted(rng.permutation(len(pages)), key=lambda k: len(pages[k]))
-        groups = [self._case([pages[k] for k in own], [labels[k] for k in own])
-                  for own in (order[at:at + 32] for at in range(0, len(order), 32))]
+        mixed = rng.permutation(len(pages))
+        groups = [self._case([pages[mixed[k]] for k in own], [labels[mixed[k]] for k in own])
+                  for own in _groups([len(pages[k]) for k in mixed], 32)]
         for done in range(rounds):
             slower = rate * (1 - 0.9 * done / rounds)
             for at in rng.permutation(len(groups)):
@@ -520,7 +534,7 @@ def train(pages: list[str], settings: int = SETTINGS, seed: int = 5) -> Labeller
         has_main = any(b.names & _MAIN for b in found)
         held.append((found, np.array([weak_label(b.names, has_main) for b in found], np.float32)))
     others = [b.text[:300] for found, labels in held for b, y in zip(found, labels) if not y] or ["Menu"]
-    mains = [[b.text for b, y in zip(found, labels) if y] for found, labels in held]
+    mains = [[b.text[:SHOWN_CHARS] for b, y in zip(found, labels) if y] for found, labels in held]
     extra = [_variant(rng, m, others) for m in mains if m for _ in range(-(-settings // len(mains)))]
     cases = [(f, y) for f, y in [*held, *extra] if f]
     if not cases:

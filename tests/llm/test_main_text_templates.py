@@ -141,3 +141,14 @@ def test_driver_pages_follow_their_article(spark, model):
     for blocks, chances in zip(found, model.chances(found)):
         has_main = any(b.names & html._MAIN for b in blocks)
         assert [c > 0.5 for c in chances] == [html.weak_label(b.names, has_main) for b in blocks]
+
+
+def test_pages_go_together_by_size():
+    """Every page once; a page of very many blocks stands alone and is labelled whole."""
+    sizes = [3, 60_000, 1, 2, 30_000, 20_000, *[5] * 200]
+    groups = list(html._groups(sizes, 64))
+    assert sorted(k for g in groups for k in g) == list(range(len(sizes)))
+    assert all(len(g) <= 64 and (len(g) == 1 or len(g) * max(sizes[k] for k in g) <= html.CELLS) for g in groups)
+    many = html.blocks_of("<p>a" * 60_000)
+    assert [len(c) for c in html.Labeller().chances([many, [], many[:2]])] == [60_000, 0, 2]
+    assert html.train(["<article><p>" + "word " * 200_000 + "</p></article>"], settings=20) is not None
