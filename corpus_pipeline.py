@@ -3,7 +3,8 @@
 language ID (rows without an identified language go; ``lang`` becomes the
 identified one) -> near-duplicates (one document of each group stays) ->
 benchmark decontamination (documents that hold a test item go) -> secret scan
-(secrets in texts are replaced) -> packing into sequences of 2048 tokens.
+(secrets in texts are replaced) -> packing into sequences of 2048 tokens, each
+of documents of one identified language.
 """
 
 from __future__ import annotations
@@ -37,7 +38,7 @@ def redact_secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
 
 
 def pack_sequences(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    return packing.pack(docs, byte_bpe(), capacity=2048, closing=0)
+    return packing.pack(docs, byte_bpe(), capacity=2048, closing=0, by="lang")
 
 
 STAGES = [

@@ -15,7 +15,12 @@ Pieces find their place by joins: the pieces of one length are numbered by
 counting per (length, salt) and within it, so one frequent length is spread
 over many tasks, and the number picks the plan's step, repetition and offset.
 
+With ``by``, a column of the documents, a sequence holds pieces of one value of it
+only: the histogram, the plan and the numbering are then each value's own, so what
+the driver sees is bounded by the sequence length times the number of values.
+
 Defined cases: NULL or empty text is one piece that holds the closing id only;
+a NULL in ``by`` is a value of its own;
 repeated rows are packed as often as they stand there; NULL ids pass through;
 an empty table packs nothing; extra columns are ignored.
 """
@@ -46,18 +51,20 @@ def cut(n: int, capacity: int) -> list[tuple[int, int]]:
     return [(a, b - a) for a, b in zip(at, [*at[1:], n])]
 
 
-def _pieces(tokenizer: str, capacity: int, closing: int):
+def _pieces(tokenizer: str, capacity: int, closing: int, by: str | None = None):
+    schema = _PIECES.append(pa.field(by, pa.string())) if by else _PIECES
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encoder = load(tokenizer)
         for rb in batches:
-            rows: list[list] = [[], [], [], [], []]
-            for doc, text in zip(rb.column(0).to_pylist(), rb.column(1).to_pylist()):
+            rows: list[list] = [[] for _ in schema]
+            for doc, text, *own in zip(*(c.to_pylist() for c in rb.columns)):
                 ids = np.concatenate([*spliced_ids(encoder, text), [closing]]).astype("<u4")
                 for k, (start, length) in enumerate(cut(len(ids), capacity)):
                     crc = zlib.crc32(ids[start:start + length].tobytes())
-                    for column, value in zip(rows, (doc, k, start, length, crc)):
+                    for column, value in zip(rows, (doc, k, start, length, crc, *own)):
                         column.append(value)
-            yield batch(_PIECES, *rows)
+            yield batch(schema, *rows)
     return run
 
 
@@ -108,9 +115,9 @@ def minimum_slack_plan(histogram: dict[int, int], capacity: int) -> list[tuple[l
     return plan
 
 
-def _segments(plan: list[tuple[list[int], int]]) -> list[tuple]:
-    """Per step and length: which numbers of that length it takes, and where they go."""
-    out, used, base = [], {}, 0
+def _segments(plan: list[tuple[list[int], int]], base: int = 0) -> list[tuple]:
+    """Per step and length: which numbers of that length it takes, and where they go, in sequences from ``base`` on."""
+    out, used = [], {}
     for lengths, times in plan:
         at = 0
         for length in dict.fromkeys(lengths):
@@ -123,42 +130,55 @@ def _segments(plan: list[tuple[list[int], int]]) -> list[tuple]:
     return out
 
 
-def pack(docs: DataFrame, tokenizer: str, capacity: int = 2048, closing: int = 0) -> DataFrame:
-    """doc_id, piece, start, length, ids_crc32, sequence_id and offset for every piece of every row."""
+def pack(docs: DataFrame, tokenizer: str, capacity: int = 2048, closing: int = 0, by: str | None = None) -> DataFrame:
+    """doc_id, piece, start, length, ids_crc32, sequence_id and offset for every piece of every row.
+
+    With ``by`` that column follows, as a string, and no sequence holds two values of it.
+    """
     spark = docs.sparkSession
     prepare(spark)
-    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), text_or_empty().alias("text"))
-    pieces = stored(rows.mapInArrow(_pieces(tokenizer, capacity, closing),
-                                    "doc_id long, piece int, start long, length long, ids_crc32 long"), "pack-pieces")
-    return place(pieces, capacity)
+    own = [F.col(by).cast("string").alias(by)] if by else []
+    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), text_or_empty().alias("text"), *own)
+    schema = "doc_id long, piece int, start long, length long, ids_crc32 long" + (f", `{by}` string" if by else "")
+    pieces = stored(rows.mapInArrow(_pieces(tokenizer, capacity, closing, by), schema), "pack-pieces")
+    placed = place(pieces, capacity, by=by)
+    return placed.select(*[c for c in placed.columns if c != by], by) if by else placed
 
 
-def place(pieces: DataFrame, capacity: int, rows_per_salt: int = 20_000) -> DataFrame:
+def place(pieces: DataFrame, capacity: int, rows_per_salt: int = 20_000, by: str | None = None) -> DataFrame:
     """Give each piece (any columns beside ``length``) its sequence_id and offset."""
     spark = pieces.sparkSession
-    counts = pieces.groupBy("length").agg(F.count(F.lit(1)).alias("n"))
-    # At most `capacity` rows: one per length.
-    histogram = {r["length"]: r["n"] for r in counts.collect()}
-    salts = max(1, -(-sum(histogram.values()) // rows_per_salt))
-    segments = _segments(minimum_slack_plan(histogram, capacity))
+    own = [by] if by else []
+    counts = pieces.groupBy(*own, "length").agg(F.count(F.lit(1)).alias("n"))
+    # At most `capacity` rows for each value of `by`: one per length.
+    histograms: dict[str | None, dict[int, int]] = {}
+    for r in counts.collect():
+        histograms.setdefault(r[by] if by else None, {})[r["length"]] = r["n"]
+    salts = max(1, -(-sum(sum(h.values()) for h in histograms.values()) // rows_per_salt))
+    segments, base = [], 0
+    for value in sorted(histograms, key=lambda v: (v is not None, v)):
+        plan = minimum_slack_plan(histograms[value], capacity)
+        segments += [(*segment, value) for segment in _segments(plan, base)]
+        base += sum(times for _, times in plan)
     names = pieces.columns
     salted = pieces.withColumn("_salt", F.pmod(F.xxhash64(*names), F.lit(salts)).cast("int"))
-    sizes = salted.groupBy("length", "_salt").agg(F.count(F.lit(1)).alias("n"))
-    # One row per (length, salt): the running count of one length's salts.
-    before = Window.partitionBy("length").orderBy("_salt").rowsBetween(Window.unboundedPreceding, -1)
-    firsts = sizes.select(F.col("length").alias("_l"), F.col("_salt").alias("_s"),
+    sizes = salted.groupBy(*own, "length", "_salt").agg(F.count(F.lit(1)).alias("n"))
+    # One row per (value of `by`, length, salt): the running count of one length's salts.
+    before = Window.partitionBy(*own, "length").orderBy("_salt").rowsBetween(Window.unboundedPreceding, -1)
+    firsts = sizes.select(*[F.col(c).alias("_fg") for c in own], F.col("length").alias("_l"), F.col("_salt").alias("_s"),
                           F.coalesce(F.sum("n").over(before), F.lit(0)).alias("_first"))
-    nth = F.row_number().over(Window.partitionBy("length", "_salt").orderBy(*names)) - 1
+    of_value = lambda c: F.col(by).eqNullSafe(F.col(c)) if by else F.lit(True)
+    nth = F.row_number().over(Window.partitionBy(*own, "length", "_salt").orderBy(*names)) - 1
     numbered = (salted.withColumn("_nth", nth)
-                .join(firsts, (F.col("length") == F.col("_l")) & (F.col("_salt") == F.col("_s")))
+                .join(firsts, (F.col("length") == F.col("_l")) & (F.col("_salt") == F.col("_s")) & of_value("_fg"))
                 .withColumn("_rank", F.col("_first") + F.col("_nth")))
-    schema = "length long, first long, upto long, uses long, base long, at long"
+    schema = "length long, first long, upto long, uses long, base long, at long, value string"
     steps = spark.createDataFrame(segments, schema)
-    by_length = steps.groupBy(F.col("length").alias("_pl")).agg(
+    by_length = steps.groupBy(F.col("value").alias("_pg"), F.col("length").alias("_pl")).agg(
         F.collect_list(F.struct("first", "upto", "uses", "base", "at")).alias("_steps"))
     step = F.filter("_steps", lambda s: (s["first"] <= F.col("_rank")) & (F.col("_rank") < s["upto"]))[0]
-    # The plan has at most a few rows per length: it is small at any input size.
-    placed = numbered.join(F.broadcast(by_length), F.col("length") == F.col("_pl")).withColumn("_step", step)
+    # The plan has at most a few rows per length (and value): it is small at any input size.
+    placed = numbered.join(F.broadcast(by_length), (F.col("length") == F.col("_pl")) & of_value("_pg")).withColumn("_step", step)
     rel = F.col("_rank") - F.col("_step.first")
     return placed.select(
         *names, (F.col("_step.base") + F.floor(rel / F.col("_step.uses"))).cast("long").alias("sequence_id"),

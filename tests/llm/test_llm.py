@@ -581,3 +581,48 @@ def test_common_counts():
     one, two = ([np.unique(rng.integers(0, 300, int(n)).astype(np.uint64)) for n in rng.integers(0, 200, 12)] for _ in range(2))
     got = near_dedup.common_counts(one, two, width=32)
     assert got.tolist() == [[len(np.intersect1d(a, b)) for b in two] for a in one]
+
+
+def test_pipeline_follows_the_identified_language(spark, tmp_path):
+    """Wrong labels change nothing: what the first stage finds decides which documents share a sequence."""
+    import corpus_pipeline as p
+    rng = random.Random(3)
+    words = {"aa": ["lamo", "teki", "suna", "poli"], "bb": ["gwrth", "nxyst", "drvok", "zzeb"]}
+    truth, rows = {}, []
+    for d in range(60):
+        lang = truth[d] = "ab"[d % 2] * 2
+        wrong = zlib.crc32(str(d).encode()) % 5 == 0
+        text = " ".join(rng.choice(words[lang]) + rng.choice(words[lang]) for _ in range(rng.randrange(30, 200)))
+        rows.append((d, text, "ab"[(d + wrong) % 2] * 2, "s", len(text)))
+    rows += [(60, "1 2 3", "aa", "s", 5), (61, None, "bb", "s", 0)]
+    spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, n_chars long").write.parquet(f"{tmp_path}/documents.parquet")
+    spark.createDataFrame([(1, "nothing of this is in them at all")], "item_id long, text string").write.parquet(f"{tmp_path}/benchmark.parquet")
+    got = p.run(spark, str(tmp_path)).collect()
+    assert {(r["doc_id"], r["lang"]) for r in got} == set(truth.items())
+    sequences = {}
+    for r in got:
+        sequences.setdefault(r["sequence_id"], []).append(r)
+    assert all(len({r["lang"] for r in held}) == 1 for held in sequences.values())
+    for held in sequences.values():
+        ends = [0]
+        for r in sorted(held, key=lambda r: r["offset"]):
+            assert r["offset"] == ends[-1]
+            ends.append(r["offset"] + r["length"])
+        assert ends[-1] <= 2048
+    assert 2 < len(sequences) < len(got)
+
+
+def test_packing_by_a_column(spark):
+    pieces = [(k, k % 7 + 1, [None, "", "x", "y"][k % 4]) for k in range(300)]
+    df = spark.createDataFrame(pieces, "doc_id long, length long, own string")
+    got = packing.place(df, 16, rows_per_salt=40, by="own").collect()
+    assert sorted((r["doc_id"], r["length"], str(r["own"])) for r in got) == [(k, n, str(v)) for k, n, v in pieces]
+    room = {}
+    for r in got:
+        room.setdefault(r["sequence_id"], []).append((r["offset"], r["length"], r["own"]))
+    assert sorted(room) == list(range(len(room)))
+    for held in room.values():
+        at = sorted(held)
+        assert len({v for _, _, v in held}) == 1 and [a for a, _, _ in at] == [sum(n for _, n, _ in at[:k]) for k in range(len(at))]
+        assert sum(n for _, n, _ in at) <= 16
+    assert len(room) <= 4 + sum(n for _, n, _ in pieces) // 16 + 1
