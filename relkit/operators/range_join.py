@@ -14,6 +14,15 @@ range, so that the join has an equality to shuffle on:
   join keys of their own.  No more bins can be heavy than there are shares in
   the data, so the table of heavy bins is small at any size and is broadcast.
 
+The pairs themselves grow with the product of the sides when points grow
+denser.  Where only their totals per interval are wanted (``totals``), they are
+not listed: the points are added up per distinct value, the values and the
+bounds are numbered in one order, and blocks of 4, 16, 64, ... numbers are added
+up; an interval is then at most six blocks of each size, joined by their
+numbers.  No total is a difference of two others, so sums are of the interval's
+own points.  Work and shuffles grow with the distinct values and bounds times
+the block sizes in use (the logarithm of the longest interval).
+
 Bounds that are NULL are open; a NULL point is in no interval; an interval
 whose ``hi`` is not above ``lo`` holds nothing.  Values may be numbers, dates
 or timestamps; bins only need a conversion to double that keeps the order, the
@@ -27,7 +36,8 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import DateType, TimestampNTZType, TimestampType
 
 from ..functions.scalar import ntz_micros
-from ..session import default_parallelism
+from ..session import default_parallelism, scratch_path
+from .windows import global_position
 
 #: Bins at most: their numbers stay exact as doubles and integers.
 MAX_BINS = 1 << 30
@@ -80,19 +90,76 @@ def _parts(binned: DataFrame, share: int, name: str) -> DataFrame:
     return sizes.select("_rj_bin", F.ceil(F.col("n") / F.lit(share)).cast("int").alias(name))
 
 
+def _totals(points: DataFrame, value: str, intervals: DataFrame, lo: str, hi: str,
+            totals: dict[str, str | None]) -> DataFrame:
+    """Each interval that holds points, with the totals of its points."""
+    spark = points.sparkSession
+    added = [F.count(F.lit(1)) if c is None else F.sum(c) for c in totals.values()]
+    names = [f"_rj_t{k}" for k in range(len(added))]
+    leaves = points.where(F.col(value).isNotNull()).groupBy(F.col(value).alias("_rj_x")).agg(
+        *[c.alias(n) for c, n in zip(added, names)])
+    intervals = intervals.where(F.coalesce(F.col(lo) < F.col(hi), F.lit(True)))
+    spans = intervals.select(F.col(lo).alias("_rj_lo"), F.col(hi).alias("_rj_hi")).distinct()
+    bounds = spans.select(F.explode(F.array("_rj_lo", "_rj_hi")).alias("_rj_x")).where(F.col("_rj_x").isNotNull()).distinct()
+    marks = (leaves.withColumn("_rj_point", F.lit(1))
+             .unionByName(bounds.withColumn("_rj_point", F.lit(0)), allowMissingColumns=True))
+    # A bound stands before the points of its value: they are in an interval that begins there, not in one that ends.
+    marks = global_position(marks, ["_rj_x", "_rj_point"], "_rj_at")
+    end = (marks.agg(F.max("_rj_at").alias("end")).first()["end"] or 0) + 1
+    at = marks.where(F.col("_rj_point") == 0)
+    first = at.select(F.col("_rj_x").alias("_rj_fx"), F.col("_rj_at").alias("_rj_a"))
+    last = at.select(F.col("_rj_x").alias("_rj_lx"), F.col("_rj_at").alias("_rj_b"))
+    spans = (spans.join(first, F.col("_rj_lo") == F.col("_rj_fx"), "left").join(last, F.col("_rj_hi") == F.col("_rj_lx"), "left")
+             .select("_rj_lo", "_rj_hi", F.coalesce("_rj_a", F.lit(0)).cast("long").alias("_rj_a"),
+                     F.coalesce("_rj_b", F.lit(end)).cast("long").alias("_rj_b")))
+    path = scratch_path(spark, "range-spans")
+    spans.write.parquet(path)
+    spans = spark.read.schema(spans.schema).parquet(path)
+    longest = spans.agg(F.max(F.col("_rj_b") - F.col("_rj_a")).alias("n")).first()["n"] or 0
+    # Blocks of size 4 ** size; one size more would not fit into the longest interval.
+    sizes = F.explode(F.sequence(F.lit(0), F.lit(max(0, (longest.bit_length() - 1) // 2)))).alias("_rj_size")
+
+    blocks = (marks.where(F.col("_rj_point") == 1).select("_rj_at", *names, sizes)
+              .groupBy("_rj_size", F.expr("shiftright(_rj_at, 2 * _rj_size)").alias("_rj_block"))
+              .agg(*[F.sum(n).alias(n) for n in names]))
+    # Whole blocks of one size in [a, b), but for those that are in whole blocks of the next size.
+    up, down = "shiftright({0} + shiftleft(1L, 2 * {1}) - 1, 2 * {1})", "shiftright({0}, 2 * {1})"
+    own = spans.select("*", sizes).select(
+        "_rj_lo", "_rj_hi", F.col("_rj_size").alias("_rj_s"),
+        F.expr(up.format("_rj_a", "_rj_size")).alias("f"), F.expr(down.format("_rj_b", "_rj_size")).alias("t"),
+        F.expr(up.format("_rj_a", "(_rj_size + 1)")).alias("uf"), F.expr(down.format("_rj_b", "(_rj_size + 1)")).alias("ut"))
+    own = own.where("f < t").withColumns({"l": F.expr("if(uf < ut, 4 * uf, t)"), "r": F.expr("if(uf < ut, 4 * ut, t)")})
+    run = "if({0} < {1}, sequence({0}, {1} - 1), cast(array() AS array<bigint>))"
+    own = own.select("_rj_lo", "_rj_hi", "_rj_s", F.explode(F.expr(
+        f"concat({run.format('f', 'l')}, {run.format('r', 't')})")).alias("_rj_b"))
+    found = own.join(blocks, (F.col("_rj_s") == F.col("_rj_size")) & (F.col("_rj_b") == F.col("_rj_block")))
+    kinds = {n: leaves.schema[n].dataType for n in names}
+    found = found.groupBy("_rj_lo", "_rj_hi").agg(*[F.sum(n).cast(kinds[n]).alias(n) for n in names])
+    held = intervals.join(found, F.col(lo).eqNullSafe(F.col("_rj_lo")) & F.col(hi).eqNullSafe(F.col("_rj_hi")))
+    return held.select(*intervals.columns, *[F.col(n).alias(name) for n, name in zip(names, totals)])
+
+
 def range_join(points: DataFrame, value: str, intervals: DataFrame, lo: str, hi: str, how: str = "inner",
-               rows_per_task: int | None = None) -> DataFrame:
+               rows_per_task: int | None = None, totals: dict[str, str | None] | None = None) -> DataFrame:
     """Pairs with ``lo <= value < hi``; ``how="left"`` also keeps points in no interval.
 
     The columns are those of the points and then of the intervals; they must
     not share names.  ``rows_per_task`` is a bin's share of rows (by default
     the rows of a side divided by the shuffle partitions, at least 10,000).
+
+    With ``totals`` (new name -> a column of the points to sum, or None for the
+    number of points) each interval that holds a point is one row, with its own
+    columns and the totals over its pairs.
     """
     if how not in ("inner", "left"):
         raise ValueError("how is 'inner' or 'left'")
+    if totals is not None and how != "inner":
+        raise ValueError("totals are of the inner join")
     clash = {c.lower() for c in points.columns} & {c.lower() for c in intervals.columns}
     if clash:
         raise ValueError(f"columns of both sides: {sorted(clash)}")
+    if totals is not None:
+        return _totals(points, value, intervals, lo, hi, totals)
     names = [*points.columns, *intervals.columns]
     p = points.withColumn("_rj_v", _number(points, value))
     i = intervals.withColumn("_rj_lo_n", _number(intervals, lo)).withColumn("_rj_hi_n", _number(intervals, hi))

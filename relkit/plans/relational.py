@@ -407,8 +407,8 @@ def join_range_orders(spark, d):
     li = t.lineitem.select("l_shipdate", "l_quantity")
     o = t.orders.where(F.col("o_orderpriority") == "1-URGENT").select(
         "o_orderkey", "o_orderdate", (F.col("o_orderdate") + F.expr("INTERVAL 12 HOURS")).alias("o_until"))
-    j = range_join(li, "l_shipdate", o, "o_orderdate", "o_until")
-    return j.groupBy("o_orderkey").agg(F.count(F.lit(1)).alias("n_lines"), F.sum("l_quantity").alias("total_qty"))
+    j = range_join(li, "l_shipdate", o, "o_orderdate", "o_until", totals={"n_lines": None, "total_qty": "l_quantity"})
+    return j.groupBy("o_orderkey").agg(F.sum("n_lines").alias("n_lines"), F.sum("total_qty").alias("total_qty"))
 
 
 @query("join_range_left", """

@@ -85,3 +85,77 @@ def test_plan_has_an_equality(spark):
         assert out.count() == 7495  # the last interval holds two of the values, all others three
     finally:
         spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+
+
+def totalled(spark, points, intervals, kind, quantity="double"):
+    """The operator's totals per interval, and those of all pairs."""
+    p = spark.createDataFrame(points, f"p int, v {kind}, q {quantity}")
+    i = spark.createDataFrame(intervals, f"i int, lo {kind}, hi {kind}")
+    got = Counter(tuple(r) for r in range_join(p, "v", i, "lo", "hi", totals={"n": None, "total": "q"}).select("i", "n", "total").collect())
+    want, q = {}, {k: x for k, _, x in points}
+    for k, iv in enumerate(intervals):
+        held = [q[a] for (a, _), n in pairs([r[:2] for r in points], [iv]).items() for _ in range(n)]
+        if held:
+            want[k] = (iv[0], len(held), sum(x for x in held if x is not None) if any(x is not None for x in held) else None)
+    return got, Counter(want.values())
+
+
+@pytest.mark.parametrize("seed", range(4))
+def test_totals_equal_all_pairs(spark, seed):
+    rnd = random.Random(seed)
+    spot = lambda: rnd.choice([rnd.random() * 1000, 500 + rnd.random(), float(rnd.randrange(10)), 500.0, -0.0])
+    points = [(k, spot(), rnd.choice([None, 0.5, 2.0, 7.0])) for k in range(rnd.choice([5, 300, 700]))]
+    points += [(900, None, 1.0), (901, float("inf"), 1.0), (902, float("-inf"), 1.0), (903, 1e300, None)]
+    intervals = [(k, lo, lo + rnd.choice([0.0, 0.1, 5.0, 300.0, -1.0])) for k in range(80) for lo in [spot()]]
+    intervals += [(3, 2.0, 9.0), (3, 2.0, 9.0), (None, 2.0, 9.0), (60, None, None), (61, None, 500.0), (62, 500.0, None)]
+    got, want = totalled(spark, points, intervals, "double")
+    assert got == want
+
+
+def test_totals_of_distant_sizes_stay_exact(spark):
+    """A sum holds the interval's own points only: a large one before it, or a NaN, takes nothing from it."""
+    points = [(0, 0.0, 1e300), (1, 1.0, 0.1), (2, 2.0, 0.2), (3, 3.0, float("nan"))]
+    got, want = totalled(spark, points, [(1, 1.0, 2.0), (2, 1.0, 3.0), (3, 2.0, 2.5), (4, 5.0, 6.0)], "double")
+    assert got == want and len(got) == 3
+
+
+def test_totals_of_kinds_and_empty_sides(spark):
+    day = lambda k: dt.datetime(1969, 12, 1) + dt.timedelta(hours=k)
+    points = [(k, day(k % 97), k) for k in range(200)] + [(200, None, 5)]
+    intervals = [(k, day(5 * k), day(5 * k + 12)) for k in range(20)] + [(30, None, None)]
+    for kind in ("timestamp", "timestamp_ntz"):
+        got, want = totalled(spark, points, intervals, kind, "bigint")
+        assert got == want
+    money = [(k, Decimal(k) / 4, Decimal(k)) for k in range(30)]
+    got, want = totalled(spark, money, [(1, Decimal("1.25"), Decimal("3.5")), (2, None, Decimal(2))], "decimal(20,4)", "decimal(10,2)")
+    assert got == want
+    for some, others in (([], [(1, 0.0, 1.0)]), ([(1, 0.5, 1.0)], []), ([], []), ([(1, None, 1.0)], [(1, None, None)])):
+        got, want = totalled(spark, some, others, "double")
+        assert got == want == Counter()
+    with pytest.raises(ValueError):
+        p = spark.createDataFrame([(1, 1.0)], "p int, v double")
+        range_join(p, "v", spark.createDataFrame([(1, 1.0, 2.0)], "i int, lo double, hi double"), "lo", "hi", "left", totals={"n": None})
+
+
+def test_totals_list_no_pairs(spark):
+    """400 points in each of 300 intervals of one value: no step of the plan puts out the 120,000 pairs."""
+    p = spark.range(400).selectExpr("id AS p", "double(id % 5) AS v", "1.0D AS q")
+    i = spark.range(300).selectExpr("id AS i", "0.0D AS lo", "double(10 + id % 3) AS hi")
+    out = range_join(p, "v", i, "lo", "hi", totals={"n": None, "total": "q"})
+    plan = out._jdf.queryExecution().executedPlan().toString()
+    assert "NestedLoop" not in plan and "Cartesian" not in plan
+    assert {(r.n, r.total) for r in out.collect()} == {(400, 400.0)} and out.count() == 300
+
+    def most(node):
+        counted = node.metrics().get("numOutputRows")
+        own = counted.get().value() if counted.isDefined() else 0
+        below = [node.children().apply(k) for k in range(node.children().size())]
+        kind = node.getClass().getSimpleName()
+        if kind == "AdaptiveSparkPlanExec":
+            below.append(node.executedPlan())
+        elif kind.endswith("QueryStageExec"):
+            below.append(node.plan())
+        return max([own, *map(most, below)])
+
+    out.collect()
+    assert 300 <= most(out._jdf.queryExecution().executedPlan()) < 5000
