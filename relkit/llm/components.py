@@ -36,17 +36,19 @@ def _all_stars(e: DataFrame) -> bool:
     return twice.isEmpty() and e.join(e.select(F.col("u").alias("inner")).distinct(), F.col("v") == F.col("inner"), "left_semi").isEmpty()
 
 
-def components(edges: DataFrame, a: str = "a", b: str = "b") -> DataFrame:
+def components(edges: DataFrame, a: str = "a", b: str = "b", rows: int | None = None) -> DataFrame:
     """(node, root) for every node on an edge; ``root`` is the least node it reaches.
 
-    NULL ends and self loops are ignored; an empty edge table gives no rows.
+    ``rows``: how many edges there are at most, if known.  NULL ends and self loops are ignored; an empty edge table gives no rows.
     """
     e = (edges.select(F.greatest(a, b).alias("u"), F.least(a, b).alias("v"))
          .where(F.col(a).isNotNull() & F.col(b).isNotNull() & (F.col("u") != F.col("v"))).distinct())
-    e = stored(e, "cc-edges")
+    e = stored(e, "cc-edges", rows)
+    # No round has more edges than the one before.
+    rows = e.count()
     while not _all_stars(e):
         both = e.unionByName(e.select(F.col("v").alias("u"), F.col("u").alias("v")))
         large = _star(both, keep_larger=True).distinct()
-        e = stored(_star(large, keep_larger=False).distinct(), "cc-stars")
+        e = stored(_star(large, keep_larger=False).distinct(), "cc-stars", rows)
     stars = e.select(F.col("u").alias("node"), F.col("v").alias("root"))
     return stars.unionByName(stars.select(F.col("root").alias("node"), "root").distinct())

@@ -87,7 +87,7 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, share: float = SHARE, ha
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), *text_keys(), text_or_empty().alias("text"))
     # One row per width present: at most five.
     widths = sorted(r["width"] for r in items.select("width").distinct().collect())
-    marks = stored(sketch(items, hashes).withColumn("h", F.xxhash64("sh")), "dc-sketch")
+    marks = stored(sketch(items, hashes).withColumn("h", F.xxhash64("sh")), "dc-sketch", hashes * items.count())
     blocks = math.ceil(max(1, marks.count()) / block)
     hits = None
     for width in widths:

@@ -45,6 +45,8 @@ MISS = 1e-7
 PIVOTS = 4
 #: Shingles in a block of a bucket that the pivots leave unconnected; a set counts as ``LEAST`` at least.
 BLOCK, LEAST = 1 << 17, 128
+#: Shingles that count as one row where it is decided how many files the sets go into.
+SET_ROW = 64
 
 
 def n_bands(threshold: float, rows: int = ROWS, miss: float = MISS) -> int:
@@ -124,15 +126,22 @@ def near_duplicates(docs: DataFrame, num: int = 80, den: int = 100) -> DataFrame
     component_id (least doc_id reachable), kept (doc_id = component_id) and
     first (the one row key of the component to keep when ids repeat).
     """
+    return _linked(docs, num, den)[0]
+
+
+def _linked(docs: DataFrame, num: int, den: int) -> tuple[DataFrame, int]:
+    """What ``near_duplicates`` returns, and its number of rows."""
     prepare(docs.sparkSession)
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), *text_keys(), text_or_empty().alias("text"))
-    feats = stored(rows.mapInArrow(_featurize(n_bands(num / den)), _spark_schema(_FEATURES)), "nd-features")
+    bands = n_bands(num / den)
+    feats = stored(rows.mapInArrow(_featurize(bands), _spark_schema(_FEATURES)), "nd-features")
+    n_rows = feats.count()
     classes = stored(
         feats.where(F.col("cls").isNotNull()).groupBy("cls")
         .agg(F.min("doc_id").alias("least_id"), F.min(F.struct("doc_id", "t1", "t2")).alias("rep"),
              F.min(F.when(F.col("doc_id").isNotNull(), F.struct("doc_id", "t1", "t2"))).alias("top"),
-             F.first("bands").alias("bands"), F.first("n_shingles").alias("size")), "nd-classes")
-    labels = _label(rows, classes, num, den)
+             F.first("bands").alias("bands"), F.first("n_shingles").alias("size")), "nd-classes", n_rows)
+    labels = _label(rows, classes, bands, num, den)
     if labels is None:
         named = classes.select("cls", "least_id", F.coalesce("top", "rep").alias("top"))
     else:
@@ -149,34 +158,40 @@ def near_duplicates(docs: DataFrame, num: int = 80, den: int = 100) -> DataFrame
     alone = feats.where(F.col("cls").isNull()).select(
         "doc_id", "t1", "t2", "n_shingles", F.col("doc_id").alias("component_id"), F.lit(True).alias("first"))
     out = linked.unionByName(alone)
-    return out.select("doc_id", "t1", "t2", "n_shingles", "component_id",
-                      F.coalesce(F.col("doc_id") == F.col("component_id"),
-                                 F.col("component_id").isNull()).alias("kept"), "first")
+    out = out.select("doc_id", "t1", "t2", "n_shingles", "component_id",
+                     F.coalesce(F.col("doc_id") == F.col("component_id"),
+                                F.col("component_id").isNull()).alias("kept"), "first")
+    return out, n_rows
 
 
-def _label(rows: DataFrame, classes: DataFrame, num: int, den: int) -> DataFrame | None:
+def _label(rows: DataFrame, classes: DataFrame, bands: int, num: int, den: int) -> DataFrame | None:
     """(node, root) of the classes that have a link; None when no bucket has two members."""
+    held = classes.agg(F.count(F.lit(1)).alias("n"), F.coalesce(F.sum("size"), F.lit(0)).alias("shingles")).first()
     banded = classes.select("cls", F.greatest("size", F.lit(LEAST)).alias("weight"), F.explode("bands").alias("key"))
     shared = banded.groupBy("key").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select(F.col("key").alias("k"))
-    left = stored(banded.join(shared, F.col("key") == F.col("k")).select("key", "cls", "weight"), "nd-members")
-    if left.isEmpty():
+    left = stored(banded.join(shared, F.col("key") == F.col("k")).select("key", "cls", "weight"), "nd-members", held["n"] * bands)
+    members = left.count()
+    if not members:
         return None
     involved = classes.join(left.select(F.col("cls").alias("m")).distinct(), F.col("cls") == F.col("m"), "left_semi")
     wanted = involved.select(*(F.col(f"rep.{c}").alias(f"r_{c}") for c in ("doc_id", "t1", "t2")))
     texts = rows.join(wanted, F.col("doc_id").eqNullSafe(F.col("r_doc_id")) & (F.col("t1") == F.col("r_t1"))
                       & (F.col("t2") == F.col("r_t2")), "left_semi").select("text")
     # Repeated rows give their set twice; one copy of each is kept.
-    sets = stored(texts.mapInArrow(_sets, _spark_schema(_SETS)).groupBy("cls").agg(F.first("s").alias("s")), "nd-sets")
+    sets = stored(texts.mapInArrow(_sets, _spark_schema(_SETS)).groupBy("cls").agg(F.first("s").alias("s")), "nd-sets",
+                  held["shingles"] // SET_ROW)
     nth = F.row_number().over(Window.partitionBy("key").orderBy("cls"))
     pivot = left.withColumn("nth", nth).where(F.col("nth") <= PIVOTS).select(F.col("key").alias("pk"), F.col("cls").alias("pc"))
     pairs = (left.join(pivot, (F.col("key") == F.col("pk")) & (F.col("cls") != F.col("pc")))
              .select(F.greatest("cls", "pc").alias("a"), F.least("cls", "pc").alias("b")).distinct())
-    labels = components(_verified(pairs, sets, num, den))
+    labels = components(_verified(pairs, sets, num, den), rows=members * PIVOTS)
     links = stored(_open_links(left, labels, sets, num, den), "nd-links")
-    if links.isEmpty():
+    found = links.count()
+    if not found:
         return labels
     # What is known so far goes in as stars, so only the new links have to be contracted.
-    return components(labels.select(F.col("node").alias("a"), F.col("root").alias("b")).unionByName(links))
+    return components(labels.select(F.col("node").alias("a"), F.col("root").alias("b")).unionByName(links),
+                      rows=held["n"] + found)
 
 
 def _open_links(members: DataFrame, labels: DataFrame, sets: DataFrame, num: int, den: int) -> DataFrame:
@@ -275,7 +290,8 @@ def _verified(pairs: DataFrame, sets: DataFrame, num: int, den: int) -> DataFram
 def drop_near_duplicates(docs: DataFrame, num: int = 80, den: int = 100) -> DataFrame:
     """``docs`` with one row of each component (and of each repeated row) left."""
     names = docs.columns
-    found = stored(near_duplicates(docs, num, den).select("doc_id", "t1", "t2", "first"), "nd-decisions")
+    linked, n_rows = _linked(docs, num, den)
+    found = stored(linked.select("doc_id", "t1", "t2", "first"), "nd-decisions", n_rows)
     keys = [F.col(k).alias(f"p_{k}") for k in ("doc_id", "t1", "t2")]
     dropped = found.where(~F.col("first")).select(*keys).distinct()
     again = (found.where("first").groupBy("doc_id", "t1", "t2").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select(*keys))

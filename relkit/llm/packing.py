@@ -42,6 +42,7 @@ from .util import batch, prepare, stored, text_or_empty
 
 _PIECES = pa.schema([("doc_id", pa.int64()), ("piece", pa.int32()), ("start", pa.int64()), ("length", pa.int64()),
                      ("ids_crc32", pa.int64())])
+_SEGMENT = pa.schema([*((c, pa.int64()) for c in ("length", "first", "upto", "uses", "base", "at")), ("value", pa.string())])
 
 
 def cut(n: int, capacity: int) -> list[tuple[int, int]]:
@@ -172,8 +173,8 @@ def place(pieces: DataFrame, capacity: int, rows_per_salt: int = 20_000, by: str
     numbered = (salted.withColumn("_nth", nth)
                 .join(firsts, (F.col("length") == F.col("_l")) & (F.col("_salt") == F.col("_s")) & of_value("_fg"))
                 .withColumn("_rank", F.col("_first") + F.col("_nth")))
-    schema = "length long, first long, upto long, uses long, base long, at long, value string"
-    steps = spark.createDataFrame(segments, schema)
+    # As an Arrow table: from rows, Spark would start a second set of Python workers on every executor.
+    steps = spark.createDataFrame(pa.Table.from_pylist([dict(zip(_SEGMENT.names, s)) for s in segments], _SEGMENT))
     by_length = steps.groupBy(F.col("value").alias("_pg"), F.col("length").alias("_pl")).agg(
         F.collect_list(F.struct("first", "upto", "uses", "base", "at")).alias("_steps"))
     step = F.filter("_steps", lambda s: (s["first"] <= F.col("_rank")) & (F.col("_rank") < s["upto"]))[0]

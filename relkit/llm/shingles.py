@@ -15,8 +15,8 @@ import xxhash
 
 WIDTH = 5
 _LOWER = bytes(c + 32 if 65 <= c <= 90 else c for c in range(256))
-#: Words whose hash a worker remembers before it starts afresh (bounds its memory).
-_MEMO_WORDS = 400_000
+#: Words whose hash a worker remembers, the first ones it meets (some 15 MB); others are hashed each time.
+_MEMO_WORDS = 100_000
 
 
 class _WordHashes(dict):
